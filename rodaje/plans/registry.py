@@ -7,9 +7,11 @@ from types import ModuleType
 
 from pyspark.sql import DataFrame, SparkSession
 
+from rodaje.plans import general
+
 Query = Callable[[SparkSession, str], DataFrame]
 
-MODULES: list[ModuleType] = []
+MODULES: list[ModuleType] = [general]
 
 
 def queries() -> dict[str, Query]:
