@@ -7,12 +7,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rodaje.llm import packing, sketch, spans, tokens
+from rodaje.llm import packing, simjoin, sketch, spans, tokens
 from rodaje.sources import table
 
 FUEL_GROUP = ["periodo", "provincia_id", "producto", "bandera"]
 
 
+def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    reference = simjoin.reference_list(table(spark, sf_dir, "caracteristicas"))
+    return simjoin.named_entries(table(spark, sf_dir, "equipamiento_items"), reference).withColumnRenamed("entry", "caracteristica_id")
+
+
 def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sketch.misprinted(
         table(spark, sf_dir, "combustible_precios"), table(spark, sf_dir, "combustible_mensual"),
@@ -46,7 +51,7 @@ def p10_shared(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (p6_found, p6_percentiles, p8_ids, p9_packing, p10_found, p10_shared)}
+    return {f.__name__: f for f in (p3_found, p6_found, p6_percentiles, p8_ids, p9_packing, p10_found, p10_shared)}
 
 
 def oracle_sql() -> dict[str, str]:
