@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rodaje.llm import packing, simjoin, sketch, spans, tokens
+from rodaje.llm import linkage, packing, simjoin, sketch, spans, tokens
 from rodaje.sources import table
 
 FUEL_GROUP = ["periodo", "provincia_id", "producto", "bandera"]
@@ -18,6 +18,19 @@ def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simjoin.named_entries(table(spark, sf_dir, "equipamiento_items"), reference).withColumnRenamed("entry", "caracteristica_id")
 
 
+def _versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return linkage.versions(table(spark, sf_dir, "matching_0km"), table(spark, sf_dir, "guia_versiones"))
+
+
+def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _versions(spark, sf_dir).where("confianza >= 0.5").select("registro_id", "guia_id")
+
+
+def p5_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every candidate pair with its confidence."""
+    return _versions(spark, sf_dir)
+
+
 def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sketch.misprinted(
         table(spark, sf_dir, "combustible_precios"), table(spark, sf_dir, "combustible_mensual"),
@@ -51,7 +64,7 @@ def p10_shared(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (p3_found, p6_found, p6_percentiles, p8_ids, p9_packing, p10_found, p10_shared)}
+    return {f.__name__: f for f in (p3_found, p5_found, p5_candidates, p6_found, p6_percentiles, p8_ids, p9_packing, p10_found, p10_shared)}
 
 
 def oracle_sql() -> dict[str, str]:
