@@ -47,8 +47,11 @@ def shortest_pack_first(histogram: dict[int, int], capacity: int) -> list[tuple[
             else:
                 pattern = (*pattern, (length, each))
             heapq.heappush(open_, (used + each * length, age := age + 1, take, pattern))
-        if left:
-            heapq.heappush(open_, (length, age := age + 1, left, ((length, 1),)))
+        # What finds no room opens containers; the next of its length then fits there best.
+        each = capacity // length
+        for n, count in ((each, left // each), (left % each, 1)):
+            if n and count:
+                heapq.heappush(open_, (n * length, age := age + 1, count, ((length, n),)))
     return [(pattern, count) for _, _, count, pattern in sorted(open_, key=lambda p: p[1])]
 
 

@@ -70,7 +70,7 @@ def percentiles(sk: DataFrame, keys: Sequence[str], probs: Sequence[float], erro
         at = [F.max(F.when((F.col("_from") <= r) & (r < F.col("_upto")), F.col("_v"))) for r in (low, high)]
         frac = F.max(rank - low)
         aggs.append((at[0] + (at[1] - at[0]) * frac).alias(percent(p)))
-    return ranked.groupBy(*keys).agg(F.max("_n").alias("n"), *aggs)
+    return ranked.groupBy(*keys).agg(F.max("_n").alias("n"), *aggs).where("n is not null")
 
 
 def percent(p: float) -> str:

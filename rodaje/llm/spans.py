@@ -95,7 +95,7 @@ def _thin(doc: np.ndarray, pos: np.ndarray, fp: np.ndarray) -> np.ndarray:
     return ~(np.concatenate([[False], same]) & np.concatenate([same, [False]]))
 
 
-def _anchor_batches(k: int, w: int):
+def _anchor_batches(k: int, w: int, thin: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         span = k + w - 1
         ids: list[int] = []
@@ -116,8 +116,9 @@ def _anchor_batches(k: int, w: int):
             pos = at - (ends - sizes)[piece] + np.asarray(offsets, dtype=np.int64)[piece]
             keep = np.concatenate([[True], (doc[1:] != doc[:-1]) | (pos[1:] != pos[:-1])])
             doc, pos, fp = doc[keep], pos[keep], fp[keep]
-            keep = _thin(doc, pos, fp)
-            doc, pos, fp = doc[keep], pos[keep], fp[keep]
+            if thin:
+                keep = _thin(doc, pos, fp)
+                doc, pos, fp = doc[keep], pos[keep], fp[keep]
             fp = fp.view(np.int64)
             # What stands before: the previous anchor and its distance; none at a text's first anchor here.
             lead = np.zeros(len(fp), dtype=np.int64)
@@ -145,16 +146,16 @@ def _anchor_batches(k: int, w: int):
     return run
 
 
-def anchors(docs: DataFrame, id_col: str, text_col: str, span: int = 150, k: int = 80) -> DataFrame:
+def anchors(docs: DataFrame, id_col: str, text_col: str, span: int = 150, k: int = 80, thin: bool = True) -> DataFrame:
     """doc, pos, fp, lead: the anchors of each text of at least `span` characters.
 
     Null, empty and shorter texts have none. `lead` tells what stands before an anchor in its text and is null
-    for the first one.
+    for the first one. With thin, of the anchors of one repeated gram in a row only the first and last are given.
     """
     long_enough = docs.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).alias("text")).where(
         F.col("doc").isNotNull() & (F.length("text") >= span)
     )
-    return long_enough.mapInArrow(_anchor_batches(k, span - k + 1), "doc long, pos int, fp long, lead long")
+    return long_enough.mapInArrow(_anchor_batches(k, span - k + 1, thin), "doc long, pos int, fp long, lead long")
 
 
 def _common(a: Column, b: Column, most: int) -> Column:
@@ -168,14 +169,16 @@ def _common(a: Column, b: Column, most: int) -> Column:
     return F.aggregate(steps, F.lit(0), grow)
 
 
-def indexed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", span: int = 150, k: int = 80) -> DataFrame:
+def indexed(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", span: int = 150, k: int = 80, thin: bool = True
+) -> DataFrame:
     """doc, pos, fp, lead, n, left, right: the anchors that stand in more than one record, with their context.
 
     n counts an anchor's places; left (reversed) and right hold the span - k characters on either side, and gram is
     a second hash of the anchor's own characters. Anchors of one record only are dropped before any text is moved.
     """
     c = span - k
-    every = anchors(docs, id_col, text_col, span, k).repartition("fp")
+    every = anchors(docs, id_col, text_col, span, k, thin).repartition("fp")
     shared = (
         every.groupBy("fp").agg(F.min("doc").alias("_a"), F.max("doc").alias("_b"), F.count(F.lit(1)).alias("n"))
         .where("_a < _b").select("fp", "n")
@@ -226,7 +229,7 @@ def shared_spans(
     with the shared text and not with the pairs of records.
     """
     c = span - k
-    at = indexed(docs, id_col, text_col, span, k)
+    at = indexed(docs, id_col, text_col, span, k, thin=False)
     two = [F.min("doc").alias("_a"), F.max("doc").alias("_b")]
     whole = (
         at.where((F.length("left") == c) & (F.length("right") == c)).groupBy("fp", "gram", "left", "right").agg(*two)
