@@ -17,6 +17,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from rodaje.session import cut
+
 #: Units of money: factor, and whether the amount is in dollars.
 UNITS: dict[str, tuple[str, bool]] = {
     "pesos": ("1", False), "miles": ("1000", False), "millones": ("1000000", False), "centavos": ("0.01", False),
@@ -159,56 +161,47 @@ def decode_units(
     """id_col, unit: the unit of every record's amount.
 
     stated is a unit's name or null; rate is the price of a dollar, used by dollar units and null if unknown. A silent record
-    may be in the usual unit or one of `silent`. A series is ordered by `at` (null first) and then by id. Records without
-    a positive amount keep what they state, or get the usual unit. Ids are expected once each.
+    may be in the usual unit or one of `silent`. A series is ordered by `at` (null first) and then by id, a date of more than
+    `block` records by a hash of the id. Records without
+    a positive amount keep what they state, or get the usual unit. Ids are expected once each. records is read several
+    times, so it should be cheap to read.
     """
-    names = list(units)
+    names, states = list(units), len(units)
     x = F.log(F.col(amount).cast("double"))
     fx = F.log(F.col(rate).cast("double"))
     factor = {n: float(np.log(float(f))) for n, (f, _) in units.items()}
     level = {n: F.coalesce(x + F.lit(factor[n]) + (fx if units[n][1] else F.lit(0.0)), F.lit(0.0)) for n in names}
     live = F.col(amount) > 0
-    chain = records.where(live).select(
+    levels = records.where(live).select(
         F.xxhash64(*series).alias("series"), F.col(at).cast("date").alias("at"), F.col(id_col).alias("id"), F.col(stated).alias("said"),
         *[level[n].alias(f"l{i}") for i, n in enumerate(names)],
     )
     known = F.coalesce(*[F.when(F.col("said") == n, F.col(f"l{i}")) for i, n in enumerate(names)])
-    middle = chain.select(F.percentile_approx(known, 0.5).alias("middle"))
+    middle = levels.select(F.percentile_approx(known, 0.5)).first()[0]
     inf = F.lit(float("inf"))
 
     def price(i: int, name: str) -> Column:
-        off = OFF * F.abs(F.col(f"l{i}") - F.coalesce("middle", F.col(f"l{i}")))
+        off = F.lit(0.0) if middle is None else OFF * F.abs(F.col(f"l{i}") - F.lit(middle))
         free = off + (0.0 if name == usual else UNUSUAL) if name == usual or name in silent else inf
         return F.when(F.col("said") == name, 0.0).when(F.col("said").isNotNull(), inf).otherwise(free)
 
-    chain = chain.crossJoin(F.broadcast(middle)).select("*", *[price(i, n).alias(f"c{i}") for i, n in enumerate(names)]).drop("middle")
-    # Blocks of whole dates, about `block` records each; a date with more than that is dealt by a hash of the id.
-    dates = chain.groupBy("series", "at").agg(F.count(F.lit(1)).alias("n"))
-    over = W.partitionBy("series").orderBy("at")
-    dates = dates.select(
-        "series", "at", "n", F.floor((F.sum("n").over(over) - F.col("n")) / block).cast("long").alias("b1"),
-        (F.sum("n").over(W.partitionBy("series")) > block).alias("long"),
-    )
-    placed = chain.join(
-        dates.withColumnRenamed("series", "_s").withColumnRenamed("at", "_at"),
-        (F.col("series") == F.col("_s")) & F.col("at").eqNullSafe(F.col("_at")),
-    )
-    deal = F.pmod(F.xxhash64("id"), F.ceil(F.col("n") / block).cast("long"))
-    placed = placed.select(
-        chain["*"], F.when(F.col("long"), F.col("b1")).otherwise(0).alias("b1"),
-        F.when(F.col("n") > block, deal).otherwise(-1).cast("long").alias("b2"), "long",
-    )
+    chain = levels.select("series", "at", "id", *[f"l{i}" for i in range(states)], *[price(i, n).alias(f"c{i}") for i, n in enumerate(names)])
     order = ["series", "b1", "b2", "at", "id"]
-    states = len(names)
 
     def blocks(df: DataFrame) -> DataFrame:
         return df.repartition("series", "b1", "b2").sortWithinPartitions(*order)
 
-    transfer = blocks(placed.where("long")).mapInPandas(
-        _transfer(states), "series long, b1 long, b2 long, paths array<double>, head array<double>, tail array<double>"
-    )
-    ends = transfer.groupBy("series").applyInPandas(_ends(states), "series long, b1 long, b2 long, first int, last int")
-    ready = placed.join(ends, ["series", "b1", "b2"], "left")
+    if levels.groupBy("series").count().where(F.col("count") > block).limit(1).count():
+        placed = _placed(chain, block)
+        transfer = blocks(placed.where("long")).mapInPandas(
+            _transfer(states), "series long, b1 long, b2 long, paths array<double>, head array<double>, tail array<double>"
+        )
+        ends = transfer.groupBy("series").applyInPandas(_ends(states), "series long, b1 long, b2 long, first int, last int")
+        ready = placed.join(ends, ["series", "b1", "b2"], "left")
+    else:
+        # No series is longer than a block: each is one.
+        none, zero = F.lit(None).cast("int"), F.lit(0).cast("long")
+        ready = chain.withColumns({"b1": zero, "b2": zero, "first": none, "last": none})
     id_type = dict(records.dtypes)[id_col]
     decoded = blocks(ready).mapInPandas(_decode(states), f"id {id_type}, state int")
     unit = F.element_at(F.array(*[F.lit(n) for n in names]), F.col("state") + 1)
@@ -216,6 +209,22 @@ def decode_units(
     return decoded.select(F.col("id").alias(id_col), unit.alias("unit")).unionByName(rest)
 
 
+def _placed(chain: DataFrame, block: int) -> DataFrame:
+    """chain with its blocks: whole dates of a series, about `block` records each; a date with more is dealt by a hash of the id."""
+    dates = chain.groupBy("series", "at").agg(F.count(F.lit(1)).alias("n"))
+    over = W.partitionBy("series").orderBy("at")
+    dates = dates.select(
+        F.col("series").alias("_s"), F.col("at").alias("_at"), "n", F.floor((F.sum("n").over(over) - F.col("n")) / block).cast("long").alias("b1"),
+        (F.sum("n").over(W.partitionBy("series")) > block).alias("long"),
+    )
+    deal = F.pmod(F.xxhash64("id"), F.ceil(F.col("n") / block).cast("long"))
+    joined = chain.join(dates, (F.col("series") == F.col("_s")) & F.col("at").eqNullSafe(F.col("_at")))
+    return joined.select(
+        *chain.columns, F.when(F.col("long"), F.col("b1")).otherwise(0).alias("b1"),
+        F.when(F.col("n") > block, deal).otherwise(-1).cast("long").alias("b2"), "long",
+    )
+
+
 def unit_named(text: Column) -> Column:
     """The unit that a text names, null if it names none. Mileage ('mil km') and denied dollars don't count."""
     t = F.translate(F.lower(text), "áéíóú", "aeiou")
@@ -273,7 +282,7 @@ def guide_amounts(guide: DataFrame, rates: DataFrame) -> DataFrame:
         F.col("precio_miles").cast("decimal(20,6)").alias("amount"),
         F.coalesce(unit_named(F.col("unidad_original")), unit_named(behind)).alias("said"),
     )
-    rows = rate_of_day(rows, rates, "periodo")
+    rows = cut(rate_of_day(rows, rates, "periodo"))
     unit = decode_units(rows, ["marca", "modelo", "version", "anio"], "periodo", "registro_id", "amount", "said", "rate", "miles", ["pesos", "millones"])
     return rows.join(unit, "registro_id").select("registro_id", "unit", in_pesos(F.col("amount"), F.col("unit"), F.col("rate")).alias("pesos"))
 
@@ -294,7 +303,7 @@ def service_amounts(service: DataFrame, rates: DataFrame) -> DataFrame:
         "registro_id", "capturado", "km", F.upper(F.trim("marca")).alias("marca"), F.upper(F.trim("modelo_fuente")).alias("modelo"),
         F.coalesce(given, written).alias("amount"), given.isNull().alias("only_text"), said.alias("said"),
     ).where("amount is not null")
-    rows = rate_of_day(rows, rates, "capturado")
+    rows = cut(rate_of_day(rows, rates, "capturado"))
     unit = decode_units(rows, ["marca", "modelo", "km"], "capturado", "registro_id", "amount", "said", "rate", "pesos", ["miles", "millones", "centavos"])
     return rows.join(unit, "registro_id").select(
         "registro_id", "unit", "only_text", in_pesos(F.col("amount"), F.col("unit"), F.col("rate")).alias("pesos")
