@@ -7,11 +7,11 @@ from types import ModuleType
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rodaje.plans import general
+from rodaje.plans import analytics, general, relational
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-MODULES: list[ModuleType] = [general]
+MODULES: list[ModuleType] = [general, relational, analytics]
 
 
 def queries() -> dict[str, Query]:
