@@ -235,9 +235,9 @@ def link(a: DataFrame, b: DataFrame, hot: int = 2000) -> DataFrame:
     Repeated rows count once; two records of one id that differ are both compared and the greater confidence counts.
     Records without a model name match nothing. With no candidate at all the result is empty.
     """
-    a, b = a.distinct(), b.distinct()
+    a, b = cut(a.distinct()), cut(b.distinct())
     names = full_names(a, b)
-    voted = cut(price_vote(candidates(with_full_trim(a, names), with_full_trim(b, names), hot)))
+    voted = price_vote(cut(candidates(cut(with_full_trim(a, names)), cut(with_full_trim(b, names)), hot)))
     rows = voted.groupBy(*FUNCTIONS).count().collect()
     spark = a.sparkSession
     patterns = np.array([[r[f] for f in FUNCTIONS] for r in rows], dtype=int).reshape(-1, len(FUNCTIONS))
