@@ -53,6 +53,30 @@ def _restricted_damerau(a: str | None, b: str | None) -> int | None:
     return row[-1]
 
 
+def _damerau(a: str | None, b: str | None) -> int | None:
+    """Edits with swaps of neighbours, whatever is edited between them."""
+    if a is None or b is None:
+        return None
+    far = len(a) + len(b)
+    grid = [[far] * (len(b) + 2) for _ in range(len(a) + 2)]
+    for i in range(len(a) + 1):
+        grid[i + 1][1] = i
+    for j in range(len(b) + 1):
+        grid[1][j + 1] = j
+    last: dict[str, int] = {}
+    for i, x in enumerate(a, 1):
+        col = 0
+        for j, y in enumerate(b, 1):
+            row, at = last.get(y, 0), col
+            if x == y:
+                col = j
+            grid[i + 1][j + 1] = min(
+                grid[i][j] + (x != y), grid[i + 1][j] + 1, grid[i][j + 1] + 1, grid[row][at] + (i - row - 1) + 1 + (j - at - 1)
+            )
+        last[x] = i
+    return grid[-1][-1]
+
+
 @F.pandas_udf(T.DoubleType())
 def jaro_winkler(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series([_jaro_winkler(x, y) for x, y in zip(a, b)], dtype="float64")
@@ -60,6 +84,11 @@ def jaro_winkler(a: pd.Series, b: pd.Series) -> pd.Series:
 
 @F.pandas_udf(T.IntegerType())
 def damerau_levenshtein(a: pd.Series, b: pd.Series) -> pd.Series:
+    return pd.Series([_damerau(x, y) for x, y in zip(a, b)], dtype="Int32")
+
+
+@F.pandas_udf(T.IntegerType())
+def swap_distance(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series([_restricted_damerau(x, y) for x, y in zip(a, b)], dtype="Int32")
 
 
