@@ -34,7 +34,7 @@ def norm(c: Column) -> Column:
     t = F.upper(strip_accents(c))
     t = F.regexp_replace(t, r"\bPICK[ -]?UP\b", " ")
     t = F.regexp_replace(t, r"\+", " PLUS ")
-    t = F.regexp_replace(t, r"(\d)[.,](\d)\s*L?\b", "$1,$2")
+    t = F.regexp_replace(t, r"(\d)[.,](\d)(?:\s*L\b)?", "$1,$2")
     t = F.regexp_replace(t, r"[^A-Z0-9,]+", " ")
     t = F.regexp_replace(t, r"\b([A-Z]{1,2}) (\d{1,3})(?![\d,])\b", "$1$2")
     words = F.filter(F.split(F.trim(t), r"\s+"), lambda w: (w != "") & ~w.isin(NOISE))
