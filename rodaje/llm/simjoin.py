@@ -123,7 +123,7 @@ def set_join(left: DataFrame, right: DataFrame, threshold: float, hot: int = 20_
     first = F.element_at(F.array_intersect("l_prefix", "r_prefix"), 1) == F.col("m")
     common = F.size(F.array_intersect("l_set", "r_set"))
     # Pairs meet once per common prefix member; the first one stands for all. Its position bounds the overlap.
-    out = met.where(lengths & first & positions).withColumn("jaccard", common / (a + b - common))
+    out = met.where(lengths & positions & first).withColumn("jaccard", common / (a + b - common))
     return out.where(F.col("jaccard") >= threshold - 1e-9).select("l", "r", "jaccard")
 
 

@@ -220,16 +220,25 @@ def shared_pairs(
 
 
 def shared_spans(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", span: int = 150, k: int = 80
-) -> DataFrame:
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", span: int = 150, k: int = 80, few: int = 16
+) -> DataFrame:
     """doc, start, stop: the characters [start, stop) of a record that lie in passages of `span` or more found elsewhere.
 
-    Spans of one record neither touch nor overlap. An anchor's surroundings shared as a whole settle all windows of
-    `span` characters around it at once; only where they differ is each window looked up by itself, so the work grows
-    with the shared text and not with the pairs of records.
+    Spans of one record neither touch nor overlap. The places of an anchor that has at most `few` are compared with
+    one another. Of an anchor with more, surroundings shared as a whole settle all windows of `span` characters around it
+    at once, and only where they differ is each window looked up by itself. So the work grows with the shared text and
+    not with the pairs of records.
     """
     c = span - k
-    at = indexed(docs, id_col, text_col, span, k, thin=False)
+    every = indexed(docs, id_col, text_col, span, k, thin=False)
+    near = every.where(F.col("n") <= few)
+    other = near.select("fp", "gram", F.col("doc").alias("doc_b"), F.col("left").alias("left_b"), F.col("right").alias("right_b"))
+    met = near.join(other, ["fp", "gram"]).where("doc <> doc_b")
+    met = met.withColumn("_l", _common(F.col("left"), F.col("left_b"), c)).withColumn("_r", _common(F.col("right"), F.col("right_b"), c))
+    factors = met.where(F.col("_l") + F.col("_r") >= c).select(
+        "doc", (F.col("pos") - F.col("_l")).alias("start"), (F.col("pos") + k + F.col("_r")).alias("stop")
+    )
+    at = every.where(F.col("n") > few)
     two = [F.min("doc").alias("_a"), F.max("doc").alias("_b")]
     whole = (
         at.where((F.length("left") == c) & (F.length("right") == c)).groupBy("fp", "gram", "left", "right").agg(*two)
@@ -240,19 +249,18 @@ def shared_spans(
         "doc", (F.col("pos") - c).alias("start"), (F.col("pos") + k + c).alias("stop")
     )
     # Windows around anchors at the edge of what is shared meet those of any other place of the anchor.
-    windows = marked.withColumn(
-        "_l", F.explode(F.when(F.length("left") + F.length("right") >= c, F.sequence(F.greatest(F.lit(0), c - F.length("right")), F.least(F.lit(c), F.length("left")))))
-    )
+    reach = F.sequence(F.greatest(F.lit(0), c - F.length("right")), F.least(F.lit(c), F.length("left")))
+    windows = marked.withColumn("_l", F.explode(F.when(F.length("left") + F.length("right") >= c, reach)))
     own = F.concat(F.substring("left", F.lit(1), F.col("_l")), F.lit("\x00"), F.substring("right", F.lit(1), c - F.col("_l")))
     windows = windows.select(
         "doc", "_whole", F.xxhash64("fp", "gram", "_l", own).alias("_k1"), F.hash(own, F.lit(7)).alias("_k2"),
         (F.col("pos") - F.col("_l")).alias("start"),
     )
-    met = windows.groupBy("_k1", "_k2").agg(*two).where("_a < _b").select("_k1", "_k2")
-    edge = windows.where("_whole is null").join(met, ["_k1", "_k2"], "left_semi").select(
+    shared = windows.groupBy("_k1", "_k2").agg(*two).where("_a < _b").select("_k1", "_k2")
+    edge = windows.where("_whole is null").join(shared, ["_k1", "_k2"], "left_semi").select(
         "doc", "start", (F.col("start") + span).alias("stop")
     )
-    return _union_of_intervals(full.unionByName(edge))
+    return _union_of_intervals(factors.unionByName(full).unionByName(edge))
 
 
 def _union_of_intervals(spans: DataFrame) -> DataFrame:
@@ -268,7 +276,9 @@ def _union_of_intervals(spans: DataFrame) -> DataFrame:
     )
 
 
-def shared_share(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", span: int = 150, k: int = 80) -> DataFrame:
+def shared_share(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", span: int = 150, k: int = 80, few: int = 16
+) -> DataFrame:
     """doc, n_chars, shared_chars, share for every record.
 
     share is 0 for a null or empty text, whose n_chars is 0. A row given twice counts once.
@@ -276,7 +286,7 @@ def shared_share(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     base = docs.groupBy(F.col(id_col).cast("long").alias("doc")).agg(
         F.coalesce(F.max(F.length(text_col)), F.lit(0)).cast("long").alias("n_chars")
     )
-    found = shared_spans(docs, id_col, text_col, span, k).groupBy("doc").agg(F.sum(F.col("stop") - F.col("start")).cast("long").alias("shared_chars"))
+    found = shared_spans(docs, id_col, text_col, span, k, few).groupBy("doc").agg(F.sum(F.col("stop") - F.col("start")).cast("long").alias("shared_chars"))
     shared = F.coalesce("shared_chars", F.lit(0).cast("long"))
     return base.join(found, "doc", "left").select(
         "doc", "n_chars", shared.alias("shared_chars"),

@@ -39,8 +39,9 @@ def test_pairs_and_shares_against_all_windows(spark):
     pairs, covered = brute(docs)
     for hot in (2000, 3):
         assert {tuple(r) for r in spans.shared_pairs(df, span=SPAN, k=K, hot=hot).collect()} == pairs
-    share = {r["doc"]: (r["shared_chars"], r["n_chars"]) for r in spans.shared_share(df, span=SPAN, k=K).collect()}
-    assert share == {i: (covered[i], len(t or "")) for i, t in docs}
+    for few in (1, 4, 1000):
+        share = {r["doc"]: (r["shared_chars"], r["n_chars"]) for r in spans.shared_share(df, span=SPAN, k=K, few=few).collect()}
+        assert share == {i: (covered[i], len(t or "")) for i, t in docs}
 
 
 def test_long_text_in_segments(spark, monkeypatch):
