@@ -178,10 +178,12 @@ def indexed(
     a second hash of the anchor's own characters. Anchors of one record only are dropped before any text is moved.
     """
     c = span - k
-    every = anchors(docs, id_col, text_col, span, k, thin).repartition("fp")
+    every = anchors(docs, id_col, text_col, span, k, thin).where("fp is not null and doc is not null").repartition("fp")
+    # Both uses read the same columns, so that the anchors are made and moved only once.
+    row = F.struct("doc", "pos", "lead")
     shared = (
-        every.groupBy("fp").agg(F.min("doc").alias("_a"), F.max("doc").alias("_b"), F.count(F.lit(1)).alias("n"))
-        .where("_a < _b").select("fp", "n")
+        every.groupBy("fp").agg(F.min(row).alias("_a"), F.max(row).alias("_b"), F.count(F.lit(1)).alias("n"))
+        .where("_a.doc < _b.doc").select("fp", "n")
     )
     kept = every.join(shared, "fp")
     texts = docs.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).alias("_text"))
