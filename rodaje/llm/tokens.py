@@ -65,6 +65,8 @@ def _cut_near(text: str, low: int, high: int) -> tuple[int, bool] | None:
     """
     found = None
     for p in range(max(low, 3), min(high, len(text) - 1)):
+        if found is not None and p > low + 256:
+            break
         a, b = _kind(text[p - 1]), _kind(text[p])
         if a == "'" or b == "'" or (a == "s" and b != "s"):
             continue
