@@ -7,11 +7,11 @@ from types import ModuleType
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rodaje.plans import analytics, composites, domain, general, relational, scalars
+from rodaje.plans import analytics, composites, domain, extras, general, relational, scalars
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-MODULES: list[ModuleType] = [general, relational, analytics, scalars, composites, domain]
+MODULES: list[ModuleType] = [general, relational, analytics, scalars, composites, domain, extras]
 
 
 def queries() -> dict[str, Query]:
