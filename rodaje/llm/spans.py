@@ -18,6 +18,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from rodaje.session import cut
+
 #: Window starts handled at once; bounds a worker's memory whatever a text's length.
 _STARTS = 1 << 19
 
@@ -232,7 +234,7 @@ def shared_spans(
     not with the pairs of records.
     """
     c = span - k
-    every = indexed(docs, id_col, text_col, span, k, thin=False)
+    every = cut(indexed(docs, id_col, text_col, span, k, thin=False))
     near = every.where(F.col("n") <= few)
     other = near.select("fp", "gram", F.col("doc").alias("doc_b"), F.col("left").alias("left_b"), F.col("right").alias("right_b"))
     met = near.join(other, ["fp", "gram"]).where("doc <> doc_b")
