@@ -96,12 +96,13 @@ def _place(table: dict[str, np.ndarray], stride: int):
     return run
 
 
-def pack(sizes: DataFrame, capacity: int = 2048, id_col: str = "doc_id", size_col: str = "n", deal: int = 64) -> DataFrame:
+def pack(sizes: DataFrame, capacity: int = 2048, id_col: str = "doc_id", size_col: str = "n", deal: int = 1_000_000) -> DataFrame:
     """doc_id, piece, start, n_tokens, container, at: each item's place.
 
     An item longer than `capacity` is cut into full containers and a rest; piece counts its parts from 0 and start is
     the part's first token. `at` is the place inside the container. Items of no length (0, or null) take no room and
-    are spread over the containers by id. Rows without an id are left out; repeated rows are items of their own. The items of one length, however many, are ranked in `deal` parts.
+    are spread over the containers by id. Rows without an id are left out; repeated rows are items of their own. Items of one
+    length are ranked in parts of about `deal`, so that no task orders all of a frequent length.
     """
     items = sizes.where(F.col(id_col).isNotNull()).select(
         F.col(id_col).cast("long").alias("doc_id"), F.greatest(F.coalesce(F.col(size_col), F.lit(0)), F.lit(0)).cast("long").alias("n")
@@ -113,9 +114,15 @@ def pack(sizes: DataFrame, capacity: int = 2048, id_col: str = "doc_id", size_co
             "doc_id", "piece", (F.col("piece") * F.lit(capacity).cast("long")).alias("start"),
             F.least(F.col("n") - F.col("piece") * F.lit(capacity).cast("long"), F.lit(capacity).cast("long")).alias("n_tokens"),
         )
-        .withColumn("_part", F.pmod(F.xxhash64("doc_id", "piece"), F.lit(deal)).cast("int"))
     )
-    # At most (capacity + 1) * deal rows, whatever the corpus.
+    # At most capacity + 1 rows, whatever the corpus.
+    sizes_of = {r["n_tokens"]: r["count"] for r in parts.groupBy("n_tokens").count().collect()}
+    many = {n: -(-k // deal) for n, k in sizes_of.items() if k > deal}
+    split = F.lit(1)
+    if many:
+        split = F.coalesce(F.try_element_at(F.create_map(*[F.lit(x) for kv in many.items() for x in kv]), F.col("n_tokens").cast("int")), split)
+    parts = parts.withColumn("_part", F.pmod(F.xxhash64("doc_id", "piece"), split).cast("int"))
+    # At most capacity + 1 rows and one more for each `deal` items.
     counts = parts.groupBy("n_tokens", "_part").count().collect()
     histogram: dict[int, int] = {}
     first: dict[tuple[int, int], int] = {}

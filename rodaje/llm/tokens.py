@@ -203,14 +203,14 @@ def _encode_batches(folder: str, name: str, piece: int, counts: bool):
 def _split_batches(piece: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            for doc, key, text in zip(*[batch.column(i).to_pylist() for i in range(3)]):
                 parts = pieces(text, piece)
                 open_right = [not apart for _, apart in parts[1:]] + [False]
                 for i, ((t, apart), r) in enumerate(zip(parts, open_right)):
-                    row = [[doc], [i], [t], [apart], [r]]
-                    types_ = [pa.int64(), pa.int32(), pa.string(), pa.bool_(), pa.bool_()]
+                    row = [[doc], [key], [i], [t], [apart], [r]]
+                    types_ = [pa.int64(), pa.int64(), pa.int32(), pa.string(), pa.bool_(), pa.bool_()]
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(v, type=k) for v, k in zip(row, types_)], names=["doc_id", "i", "t", "apart", "right"]
+                        [pa.array(v, type=k) for v, k in zip(row, types_)], names=["doc_id", "key", "i", "t", "apart", "right"]
                     )
 
     return run
@@ -224,11 +224,12 @@ def _piece_batches(folder: str, name: str):
                 tokens, head, tail, single = encode_piece(enc, row["t"], not row["apart"], row["right"])
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array([row["doc_id"]], type=pa.int64()), pa.array([row["i"]], type=pa.int32()), pa.array([row["apart"]]),
+                        pa.array([row["doc_id"]], type=pa.int64()), pa.array([row["key"]], type=pa.int64()),
+                        pa.array([row["i"]], type=pa.int32()), pa.array([row["apart"]]),
                         _lists([np.asarray(tokens, dtype=np.int32)]), pa.array([head], type=pa.int32()),
                         pa.array([tail], type=pa.int32()), pa.array([single]),
                     ],
-                    names=["doc_id", "i", "apart", "tokens", "head", "tail", "single"],
+                    names=["doc_id", "key", "i", "apart", "tokens", "head", "tail", "single"],
                 )
 
     return run
@@ -256,18 +257,16 @@ def token_ids(
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("t"))
     short = F.coalesce(F.length("t") <= spread, F.lit(True))
     near = rows.where(short).mapInArrow(_encode_batches(folder, name, piece, False), "doc_id long, ids array<int>")
-    # A row number tells repeated ids apart.
-    far = rows.where(~short).select(F.monotonically_increasing_id().alias("_row"), "doc_id", "t")
-    parts = far.select(F.col("_row").alias("doc_id"), "t").mapInArrow(
-        _split_batches(max(piece, spread // 8)), "doc_id long, i int, t string, apart boolean, right boolean"
+    # A row number, given before a text is cut, tells repeated ids apart.
+    far = rows.where(~short).select("doc_id", F.monotonically_increasing_id().alias("key"), "t")
+    parts = far.mapInArrow(
+        _split_batches(max(piece, spread // 8)), "doc_id long, key long, i int, t string, apart boolean, right boolean"
     )
-    encoded = parts.repartition("doc_id", "i").mapInArrow(
+    encoded = parts.repartition("doc_id", "key", "i").mapInArrow(
         _piece_batches(folder, name),
-        "doc_id long, i int, apart boolean, tokens array<int>, head int, tail int, single boolean",
+        "doc_id long, key long, i int, apart boolean, tokens array<int>, head int, tail int, single boolean",
     )
-    whole = encoded.groupBy("doc_id").applyInArrow(_joined(folder, name), "doc_id long, ids array<int>")
-    names = far.select(F.col("_row"), "doc_id")
-    whole = whole.withColumnRenamed("doc_id", "_row").join(names, "_row").select("doc_id", "ids")
+    whole = encoded.groupBy("doc_id", "key").applyInArrow(_joined(folder, name), "doc_id long, ids array<int>")
     return near.unionByName(whole)
 
 
