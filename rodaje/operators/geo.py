@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rodaje.operators.skew import salted_join
+from rodaje.session import cut
 
 EARTH_M = 6_371_000.0
 
@@ -40,7 +41,8 @@ def near_points(
     """
     slack = 1 + 1e-9
     height = math.degrees(radius_m / earth_m) * slack
-    p = (
+    # Written once: both sides of the join and the count of each cell read it.
+    p = cut(
         points.select(F.col(id_col).alias("id"), F.col(lat).cast("double").alias("lat"), F.col(lon).cast("double").alias("lon"))
         .where("id is not null and lat between -90 and 90 and lon between -180 and 180").distinct()
         .withColumn("band", F.floor(F.col("lat") / F.lit(height)).cast("long"))
