@@ -1,6 +1,6 @@
 """Free texts mapped to the entries of a reference list by a prefix-filtered set-similarity join.
 
-A text is the set of its pairs of letters. Sets are ordered by global rarity, rarest first; two sets of Jaccard
+A text is the set of its runs of two letters, or of three if it is long. Sets are ordered by global rarity, rarest first; two sets of Jaccard
 similarity t or more must share a member among their first |x| - ceil(t |x|) + 1, so only these prefixes are joined.
 Lengths and positions bound the overlap before it is computed exactly.
 """
@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rodaje.operators.skew import salted_join
+from rodaje.session import cut
 
 #: Other words for the entries of the list of characteristics (fixed values). Digits stand for any number.
 SYNONYMS: dict[str, Sequence[str]] = {
@@ -88,10 +89,11 @@ def parts_of(text: Column) -> Column:
     return F.filter(F.transform(pieces, bare), lambda p: p != "")
 
 
-def grams(bare: Column) -> Column:
-    """The distinct pairs of neighbouring letters, with the ends marked."""
+def grams(bare: Column, q: int = 2) -> Column:
+    """The distinct runs of q neighbouring letters, with the ends marked; none of a text shorter than q - 2."""
     padded = F.concat(F.lit("^"), bare, F.lit("$"))
-    return F.array_distinct(F.transform(F.sequence(F.lit(1), F.length(padded) - 1), lambda i: F.substring(padded, i, F.lit(2))))
+    starts = F.when(F.length(padded) >= q, F.sequence(F.lit(1), F.length(padded) - (q - 1)))
+    return F.array_distinct(F.transform(starts, lambda i: F.substring(padded, i, F.lit(q))))
 
 
 def set_join(left: DataFrame, right: DataFrame, threshold: float, hot: int = 20_000) -> DataFrame:
@@ -115,7 +117,8 @@ def set_join(left: DataFrame, right: DataFrame, threshold: float, hot: int = 20_
         ordered = ordered.withColumn(f"{side}_prefix", F.slice(f"{side}_set", F.lit(1), keep))
         return ordered.select("*", F.posexplode(f"{side}_prefix").alias(f"{side}_pos", "m"))
 
-    met = salted_join(prefixes("l"), prefixes("r"), ["m"], hot=hot, spread=["l"])
+    # Written once: the join counts the left prefixes before it deals them.
+    met = salted_join(cut(prefixes("l")), cut(prefixes("r")), ["m"], hot=hot, spread=["l"])
     a, b = F.size("l_set"), F.size("r_set")
     need = F.ceil(F.lit(threshold / (1 + threshold)) * (a + b) - F.lit(1e-9))
     lengths = (a >= b * threshold - 1e-9) & (b >= a * threshold - 1e-9)
@@ -127,26 +130,29 @@ def set_join(left: DataFrame, right: DataFrame, threshold: float, hot: int = 20_
     return out.where(F.col("jaccard") >= threshold - 1e-9).select("l", "r", "jaccard")
 
 
-def closest(values: DataFrame, reference: DataFrame, threshold: float = 0.25, slack: float = 0.3) -> DataFrame:
+def closest(values: DataFrame, reference: DataFrame, threshold: float = 0.25, long: int = 15) -> DataFrame:
     """bare, entry, distance, jaccard: for each distinct value the reference text it is a spelling of, if there is one.
 
-    values has a column bare, reference has bare and entry. Of the pairs that the set join finds, those within
-    max(2, slack * length) edits are kept, and of these the one with fewest edits, then the most similar, then the least entry.
+    values has a column bare, reference has bare and entry. Values of `long` letters or more are compared by runs of three
+    letters and may be off by a quarter of their length, shorter ones by runs of two and by three tenths, two edits at
+    least. Of the pairs that the set join finds, the one with fewest edits counts, then the most similar, then the least entry.
     """
-    left = values.select("bare").where("bare <> ''").distinct()
-    right = reference.select("bare", "entry").where("bare <> ''").groupBy("bare").agg(F.min("entry").alias("entry"))
-    pairs = set_join(
-        left.select(F.col("bare").alias("key"), grams(F.col("bare")).alias("members")),
-        right.select(F.col("bare").alias("key"), grams(F.col("bare")).alias("members")), threshold,
-    )
+    left = cut(values.select("bare").where("bare <> ''").distinct())
+    right = cut(reference.select("bare", "entry").where("bare <> ''").groupBy("bare").agg(F.min("entry").alias("entry")))
+    sets = lambda df, q: df.select(F.col("bare").alias("key"), grams(F.col("bare"), q).alias("members"))
+    size = F.length("bare")
+    # No text meets one whose length alone is too many edits away.
+    short = set_join(sets(left.where(size < long), 2), sets(right.where(size <= long * 10 // 7 + 2), 2), threshold)
+    rest = set_join(sets(left.where(size >= long), 3), sets(right.where(size >= long * 3 // 4 - 2), 3), threshold)
     length = F.greatest(F.length("l"), F.length("r"))
-    edits = F.levenshtein("l", "r")
-    near = pairs.withColumn("edits", edits).where(
-        (F.col("edits") <= F.greatest(F.lit(2), (length * F.lit(slack)).cast("int"))) & (F.col("edits") * 2 <= length)
+    slack = F.when(F.length("l") < long, 0.3).otherwise(0.25)
+    near = short.unionByName(rest).withColumn("edits", F.levenshtein("l", "r")).where(
+        (F.col("edits") <= F.greatest(F.lit(2), (length * slack).cast("int"))) & (F.col("edits") * 2 <= length)
     )
     near = near.join(right.withColumnRenamed("bare", "r"), "r")
     best = near.groupBy("l").agg(F.min(F.struct(F.col("edits"), (-F.col("jaccard")).alias("j"), F.col("entry"))).alias("b"), F.max(length).alias("n"))
-    return best.select(F.col("l").alias("bare"), F.col("b.entry").alias("entry"), (F.col("b.edits") / F.col("n")).alias("distance"), (-F.col("b.j")).alias("jaccard"))
+    best = best.select(F.col("l").alias("bare"), F.col("b.entry").alias("entry"), (F.col("b.edits") / F.col("n")).alias("distance"), (-F.col("b.j")).alias("jaccard"))
+    return cut(best)
 
 
 def reference_list(entries: DataFrame, id_col: str = "caracteristica_id", name_col: str = "nombre", synonyms: Mapping[str, Sequence[str]] = SYNONYMS) -> DataFrame:
@@ -181,7 +187,8 @@ def named_entries(
             ),
         )
     )
-    looked = texts.select("_text", F.explode(runs).alias("run")).select("_text", "run.*")
+    # Written once: the texts are parsed here and read by every step of the join.
+    looked = cut(texts.select("_text", F.explode(runs).alias("run")).select("_text", "run.*"))
     hits = looked.join(closest(looked, reference, threshold), "bare")
     # Taken closest first: a run is kept if no kept run overlaps it.
     ranked = hits.groupBy("_text").agg(
