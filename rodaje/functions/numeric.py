@@ -43,3 +43,8 @@ def piecewise(x: Column, points: Sequence[tuple[float, Column]]) -> Column:
     b = F.try_element_at(after, F.lit(1))
     slope = (b["y"] - a["y"]) / (b["x"] - a["x"])
     return F.when(b.isNull(), a["y"]).otherwise(a["y"] + slope * (x - a["x"]))
+
+
+def as_int(text: Column) -> Column:
+    """A whole number written as text, else null. The test first spares the cast's costly failures."""
+    return F.when(text.rlike(r"^\s*[+-]?\d{1,10}\s*$"), text.try_cast("int"))

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rodaje.functions import text as X
-from rodaje.functions.numeric import piecewise, safe_ratio, scaled_round
+from rodaje.functions.numeric import as_int, piecewise, safe_ratio, scaled_round
 from rodaje.functions.similarity import damerau_levenshtein, token_sort_ratio
 from rodaje.operators import windows
 from rodaje.plans.book import Book
@@ -102,7 +102,7 @@ def f6_date_functions(spark: SparkSession, d: str) -> DataFrame:
 def f7_math_null_cast(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "lineitem").select(
         "l_orderkey", "l_linenumber", "l_partkey", scaled_round(F.log("l_extendedprice"), 6).alias("logaritmo"), F.greatest(F.col("l_discount"), F.lit(None), F.col("l_tax")).alias("mayor"),
-        F.least("l_discount", "l_tax").alias("menor"), safe_ratio(F.col("l_quantity"), F.col("l_tax")).alias("razon"), F.col("l_returnflag").try_cast("int").alias("numero"),
+        F.least("l_discount", "l_tax").alias("menor"), safe_ratio(F.col("l_quantity"), F.col("l_tax")).alias("razon"), as_int(F.col("l_returnflag")).alias("numero"),
         F.when(F.col("l_tax") > 0.04, "alta").alias("banda"),
     )
 
