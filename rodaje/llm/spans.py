@@ -25,7 +25,7 @@ _STARTS = 1 << 19
 
 
 def _select(chars: np.ndarray, ends: np.ndarray, k: int, w: int) -> tuple[np.ndarray, np.ndarray]:
-    """Positions and hashes of the anchors in concatenated pieces; `ends` are the pieces' ends.
+    """Positions of the anchors in concatenated pieces, and the hashes of all grams; `ends` are the pieces' ends.
 
     Every piece has at least k + w - 1 characters.
     """
@@ -66,7 +66,7 @@ def _select(chars: np.ndarray, ends: np.ndarray, k: int, w: int) -> tuple[np.nda
     change = np.concatenate([[True], (lows[1:] != lows[:-1]) | (inside[1:] != inside[:-1] + 1)])
     runs = np.flatnonzero(change)
     at = _first_equal(h, inside[runs], lows[runs], w)
-    picked = [at]
+    picked = [at.copy()]
     # A run of windows may outlive its gram when the same hash stands again further right.
     last = inside[np.concatenate([runs[1:], [len(inside)]]) - 1]
     late = np.flatnonzero(at < last)
@@ -76,7 +76,7 @@ def _select(chars: np.ndarray, ends: np.ndarray, k: int, w: int) -> tuple[np.nda
         at[late] = at2
         late = late[at2 < last[late]]
     pos = np.unique(np.concatenate(picked))
-    return pos, h[pos]
+    return pos, h
 
 
 def _first_equal(h: np.ndarray, start: np.ndarray, value: np.ndarray, w: int) -> np.ndarray:
@@ -89,12 +89,38 @@ def _first_equal(h: np.ndarray, start: np.ndarray, value: np.ndarray, w: int) ->
     return out
 
 
-def _thin(doc: np.ndarray, pos: np.ndarray, fp: np.ndarray) -> np.ndarray:
-    """Keep the two ends of each stretch of one repeated gram (rulers, padding): both ends align any match in it."""
-    if len(fp) < 3:
-        return np.ones(len(fp), dtype=bool)
-    same = (fp[1:] == fp[:-1]) & (doc[1:] == doc[:-1])
-    return ~(np.concatenate([[False], same]) & np.concatenate([same, [False]]))
+def _thin(h: np.ndarray, at: np.ndarray, first: np.ndarray, last: np.ndarray, most: int) -> np.ndarray:
+    """The anchors without the inner ones of evenly repeated grams (rulers, padding, table rows), with the ends these need.
+
+    first and last are the first and last gram of each anchor's piece. The places of one gram that follow one another at one
+    distance of at most `most` characters form a chain, whether or not winnowing selects them; the text under it is periodic.
+    Of a chain that holds an anchor its second and last places are given and anchors from the third to the last but one left
+    out. No passage of k + w - 1 characters is lost (most <= k): let x be the leftmost least gram of its first window, left out in one text.
+    No earlier place of the chain is in the passage, so less than a period of it stands before x. If the passage ends
+    within the periodic text, it stands at the chain's second place as well. Else the periodic text ends inside it, in both texts
+    at the same character, and so does the chain: the last places of both chains align.
+    """
+    value = h[at]
+    step = _first_equal(h, at + 1, value, most) - at
+    step[(at + step > last) | (h[np.minimum(at + step, len(h) - 1)] != value)] = 0
+    here = lambda i, to: (to >= first[i]) & (to <= last[i]) & (h[np.clip(to, 0, len(h) - 1)] == value[i])
+    every = np.arange(len(at))
+    inner = (step > 0) & here(every, at - step) & here(every, at - 2 * step)
+
+    def walk(i: np.ndarray, ahead: np.ndarray, move: np.ndarray) -> np.ndarray:
+        """Where one gets from the anchors i by moves, as long as the gram also stands `ahead` of the place."""
+        to = at[i].copy()
+        on = np.arange(len(i))
+        while len(on := on[here(i[on], to[on] + ahead[on])]):
+            to[on] += move[on]
+        return to
+
+    # One anchor of each chain walks to its end: the last one, and the first of those left out.
+    follows = np.zeros(len(at), dtype=bool)
+    follows[:-1] = (at[1:] - at[:-1] == step[:-1]) & (step[1:] == step[:-1])
+    ends = np.flatnonzero((step > 0) & ~follows)
+    leads = np.flatnonzero(inner & ~np.concatenate([[False], inner[:-1] & follows[:-1]]))
+    return np.unique(np.concatenate([at[~inner], walk(ends, step[ends], step[ends]), walk(leads, -2 * step[leads], -step[leads])]))
 
 
 def _anchor_batches(k: int, w: int, thin: bool):
@@ -112,20 +138,22 @@ def _anchor_batches(k: int, w: int, thin: bool):
             sizes = np.fromiter(map(len, pieces), dtype=np.int64, count=len(pieces))
             ends = np.cumsum(sizes)
             chars = np.frombuffer("".join(pieces).encode("utf-32-le"), dtype=np.uint32)
-            at, fp = _select(chars, ends, k, w)
+            at, h = _select(chars, ends, k, w)
             piece = np.searchsorted(ends, at, side="right")
+            if thin:
+                at = _thin(h, at, (ends - sizes)[piece], ends[piece] - k, min(k, w))
+                piece = np.searchsorted(ends, at, side="right")
+            fp = h[at]
             doc = np.asarray(ids, dtype=np.int64)[piece]
             pos = at - (ends - sizes)[piece] + np.asarray(offsets, dtype=np.int64)[piece]
             keep = np.concatenate([[True], (doc[1:] != doc[:-1]) | (pos[1:] != pos[:-1])])
             doc, pos, fp = doc[keep], pos[keep], fp[keep]
-            if thin:
-                keep = _thin(doc, pos, fp)
-                doc, pos, fp = doc[keep], pos[keep], fp[keep]
             fp = fp.view(np.int64)
-            # What stands before: the previous anchor and its distance; none at a text's first anchor here.
+            # What stands before: the previous anchor and its distance; none at a text's first anchor here, or beyond a gap.
             lead = np.zeros(len(fp), dtype=np.int64)
-            lead[1:] = fp[:-1] * np.int64(31) + (pos[1:] - pos[:-1])
-            none = np.concatenate([[True], doc[1:] != doc[:-1]])
+            far = pos[1:] - pos[:-1]
+            lead[1:] = fp[:-1] * np.int64(31) + far
+            none = np.concatenate([[True], (doc[1:] != doc[:-1]) | (far <= 0) | (far > k)])
             yield pa.RecordBatch.from_arrays(
                 [pa.array(doc), pa.array(pos.astype(np.int32)), pa.array(fp), pa.array(lead, mask=none)],
                 names=["doc", "pos", "fp", "lead"],
@@ -152,7 +180,7 @@ def anchors(docs: DataFrame, id_col: str, text_col: str, span: int = 150, k: int
     """doc, pos, fp, lead: the anchors of each text of at least `span` characters.
 
     Null, empty and shorter texts have none. `lead` tells what stands before an anchor in its text and is null
-    for the first one. With thin, of the anchors of one repeated gram in a row only the first and last are given.
+    for the first one. With thin, chains of one repeated gram are given by their first two and last places.
     """
     long_enough = docs.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).alias("text")).where(
         F.col("doc").isNotNull() & (F.length("text") >= span)

@@ -57,3 +57,36 @@ def test_repeated_rows_and_empty_table(spark):
     assert [tuple(r) for r in spans.shared_pairs(df, span=SPAN, k=K).collect()] == [(1, 2)]
     assert spans.shared_pairs(df.limit(0), span=SPAN, k=K).count() == 0
     assert spans.shared_share(df.limit(0), span=SPAN, k=K).count() == 0
+
+
+def stretches(seed=0):
+    """Pairs of texts that share evenly repeated passages of about SPAN characters, in any phase or up to their ends."""
+    rng = random.Random(seed)
+    docs = []
+    for period in [*range(1, SPAN - K + 3)] * 12:
+        word = lambda k: "".join(rng.choice("abcdefgh") for _ in range(k))
+        unit = word(period)
+        a = word(3) + unit * (rng.randint(2, 5) * SPAN // period) + word(2)
+        phase, n = rng.randint(0, period), rng.randint(SPAN - 3, SPAN + 2)
+        b = rng.choice([(unit * (n + 2))[phase : phase + n], a[-n:], a[:n]])
+        docs += [word(rng.randint(0, 40)) + t + word(rng.randint(0, 60)) for t in (a, b)]
+    return list(enumerate(docs))
+
+
+def test_evenly_repeated_passages_off_phase(spark):
+    for seed in range(2):
+        docs = stretches(seed)
+        df = spark.createDataFrame(docs, "doc_id long, text string")
+        pairs, covered = brute(docs)
+        assert {tuple(r) for r in spans.shared_pairs(df, span=SPAN, k=K).collect()} == pairs
+        for few in (1, 1000):
+            share = {r["doc"]: r["shared_chars"] for r in spans.shared_share(df, span=SPAN, k=K, few=few).collect()}
+            assert share == covered
+
+
+def test_ruler_that_ends_alike(spark):
+    # One text holds the last 29 dashes of the other's ruler and the letter after them.
+    docs = [(i, "abcdefghijklm"[i:] + "-" * 80 + "X" + "nopqrstuvwxyz" * 3) for i in range(8)]
+    docs += [(10 + i, "ABCDEFGHIJKLM"[i:] + "-" * 29 + "X" + "NOPQRSTUVWXYZ"[i:] * 3) for i in range(8)]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    assert {tuple(r) for r in spans.shared_pairs(df, span=SPAN, k=K).collect()} == brute(docs)[0]
