@@ -38,12 +38,23 @@ def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+PROBS = [0.01, 0.25, 0.5, 0.75, 0.99]
+
+
+def _monthly(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prices = table(spark, sf_dir, "combustible_precios").where("precio_surtidor > 0").select("declaracion_id", *FUEL_GROUP, "precio_surtidor")
+    return sketch.sketch(sketch.once(prices, "declaracion_id"), FUEL_GROUP, "precio_surtidor")
+
+
 def p6_percentiles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Medians and tails per product and province over all months, from monthly sketches added up."""
-    prices = table(spark, sf_dir, "combustible_precios").where("precio_surtidor > 0")
-    monthly = sketch.sketch(prices, ["periodo", "provincia_id", "producto"], "precio_surtidor", 0.001)
-    merged = sketch.merge([monthly], ["provincia_id", "producto"])
-    return sketch.percentiles(merged, ["provincia_id", "producto"], [0.01, 0.25, 0.5, 0.75, 0.99], 0.001)
+    """Medians and tails per month, province, product and brand, each filing counted once."""
+    return sketch.percentiles(_monthly(spark, sf_dir), FUEL_GROUP, PROBS)
+
+
+def p6_merged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Medians and tails per product and province over all months and brands, from monthly sketches added up."""
+    keys = ["provincia_id", "producto"]
+    return sketch.percentiles(sketch.merge([_monthly(spark, sf_dir)], keys), keys, PROBS)
 
 
 def p8_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -64,7 +75,7 @@ def p10_shared(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (p3_found, p5_found, p5_candidates, p6_found, p6_percentiles, p8_ids, p9_packing, p10_found, p10_shared)}
+    return {f.__name__: f for f in (p3_found, p5_found, p5_candidates, p6_found, p6_percentiles, p6_merged, p8_ids, p9_packing, p10_found, p10_shared)}
 
 
 def oracle_sql() -> dict[str, str]:

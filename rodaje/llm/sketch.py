@@ -77,6 +77,11 @@ def percent(p: float) -> str:
     return "p_" + f"{p * 100:g}".replace(".", "_")
 
 
+def once(rows: DataFrame, id_col: str) -> DataFrame:
+    """One row per id; a row without an id counts by itself."""
+    return rows.where(F.col(id_col).isNotNull()).dropDuplicates([id_col]).unionByName(rows.where(F.col(id_col).isNull()))
+
+
 def misprinted(
     prices: DataFrame, published: DataFrame, keys: Sequence[str], value: str, stated: str, id_col: str, tolerance: float = 0.01, error: float = 0.0005
 ) -> DataFrame:
@@ -87,8 +92,7 @@ def misprinted(
     """
     sign, index = bucket(F.col(value), error)
     rows = prices.where(F.col(value) > 0).select(id_col, *keys, sign.alias("sign"), index.alias("bucket")).where(F.col("sign").isNotNull())
-    once = rows.where(F.col(id_col).isNotNull()).dropDuplicates([id_col]).unionByName(rows.where(F.col(id_col).isNull()))
-    sk = once.groupBy(*keys, "sign", "bucket").agg(F.count(F.lit(1)).alias("n"))
+    sk = once(rows, id_col).groupBy(*keys, "sign", "bucket").agg(F.count(F.lit(1)).alias("n"))
     medians = percentiles(sk, keys, [0.5], error)
     off = F.abs(F.col(stated) - F.col("p_50")) > F.lit(tolerance) * F.col("p_50")
     return published.select(*keys, stated).join(medians, list(keys)).where(off).select(*keys).distinct()

@@ -35,3 +35,21 @@ def test_misprinted_groups(spark):
     df = spark.createDataFrame(prices, "id long, k string, v double")
     stated = spark.createDataFrame([("x", 101.1), ("y", 51.6), ("z", 3.0), ("y", None), ("w", 1.0)], "k string, m double")
     assert [r.k for r in sketch.misprinted(df, stated, ["k"], "v", "m", "id").collect()] == ["y"]
+
+
+def test_percentiles_of_the_stated_groups_count_each_filing_once(spark, tmp_path):
+    from rodaje.llm import queries
+
+    rng = random.Random(2)
+    rows = [(i, f"2024-0{1 + i % 2}", i % 3, "nafta", ["x", None][i // 2 % 2], rng.lognormvariate(6, 1)) for i in range(600)]
+    keys = "declaracion_id long, periodo string, provincia_id int, producto string, bandera string, precio_surtidor double"
+    given = [*rows, *[r for r in rows if r[5] > 400], (9999, "2024-01", 0, "nafta", "x", -1.0)]
+    spark.createDataFrame(given, keys).write.parquet(str(tmp_path / "combustible_precios.parquet"))
+    for query, group in ((queries.p6_percentiles, slice(1, 5)), (queries.p6_merged, slice(2, 4))):
+        got = {tuple(r)[: len(rows[0][group])]: r for r in query(spark, str(tmp_path)).collect()}
+        assert set(got) == {r[group] for r in rows}
+        for g, r in got.items():
+            v = [x[5] for x in rows if x[group] == g]
+            assert r.n == len(v)
+            for p in queries.PROBS:
+                assert r[sketch.percent(p)] == pytest.approx(float(np.quantile(v, p)), rel=0.0005 * 1.001)
