@@ -1,6 +1,6 @@
 """Free texts mapped to the entries of a reference list by a prefix-filtered set-similarity join.
 
-A text is the set of its runs of two letters, or of three if it is long. Sets are ordered by global rarity, rarest first; two sets of Jaccard
+A text is the set of its runs of two letters, repeated runs numbered. Sets are ordered by global rarity, rarest first; two sets of Jaccard
 similarity t or more must share a member among their first |x| - ceil(t |x|) + 1, so only these prefixes are joined.
 Lengths and positions bound the overlap before it is computed exactly.
 """
@@ -90,10 +90,16 @@ def parts_of(text: Column) -> Column:
 
 
 def grams(bare: Column, q: int = 2) -> Column:
-    """The distinct runs of q neighbouring letters, with the ends marked; none of a text shorter than q - 2."""
+    """The runs of q neighbouring letters, with the ends marked and a run's repetitions numbered; none of a text shorter than q - 2."""
     padded = F.concat(F.lit("^"), bare, F.lit("$"))
     starts = F.when(F.length(padded) >= q, F.sequence(F.lit(1), F.length(padded) - (q - 1)))
-    return F.array_distinct(F.transform(starts, lambda i: F.substring(padded, i, F.lit(q))))
+    runs = F.transform(starts, lambda i: F.substring(padded, i, F.lit(q)))
+
+    def numbered(run: Column, i: Column) -> Column:
+        before = F.size(F.filter(F.slice(runs, F.lit(1), i), lambda x: x == run))
+        return F.when(before > 0, F.concat(run, before.cast("string"))).otherwise(run)
+
+    return F.transform(runs, numbered)
 
 
 def set_join(left: DataFrame, right: DataFrame, threshold: float, hot: int = 20_000) -> DataFrame:
@@ -130,24 +136,21 @@ def set_join(left: DataFrame, right: DataFrame, threshold: float, hot: int = 20_
     return out.where(F.col("jaccard") >= threshold - 1e-9).select("l", "r", "jaccard")
 
 
-def closest(values: DataFrame, reference: DataFrame, threshold: float = 0.25, long: int = 15) -> DataFrame:
+def closest(values: DataFrame, reference: DataFrame, threshold: float = 0.25) -> DataFrame:
     """bare, entry, distance, jaccard: for each distinct value the reference text it is a spelling of, if there is one.
 
-    values has a column bare, reference has bare and entry. Values of `long` letters or more are compared by runs of three
-    letters and may be off by a quarter of their length, shorter ones by runs of two and by three tenths, two edits at
-    least. Of the pairs that the set join finds, the one with fewest edits counts, then the most similar, then the least entry.
+    values has a column bare, reference has bare and entry. A value may be off by three tenths of the longer text's
+    length, two edits at least, half the length at most. An edit changes two runs of two letters, so texts of up to n letters that
+    are e edits apart have a similarity of (n + 1 - 2 e) / (n + 1 + 2 e) or more: 0.25 at the default from six letters on; texts of
+    four or five letters two edits apart may fall short of it. Of the pairs that the set join finds, the one with fewest edits
+    counts, then the most similar, then the least entry.
     """
     left = cut(values.select("bare").where("bare <> ''").distinct())
     right = cut(reference.select("bare", "entry").where("bare <> ''").groupBy("bare").agg(F.min("entry").alias("entry")))
-    sets = lambda df, q: df.select(F.col("bare").alias("key"), grams(F.col("bare"), q).alias("members"))
-    size = F.length("bare")
-    # No text meets one whose length alone is too many edits away.
-    short = set_join(sets(left.where(size < long), 2), sets(right.where(size <= long * 10 // 7 + 2), 2), threshold)
-    rest = set_join(sets(left.where(size >= long), 3), sets(right.where(size >= long * 3 // 4 - 2), 3), threshold)
+    sets = lambda df: df.select(F.col("bare").alias("key"), grams(F.col("bare")).alias("members"))
     length = F.greatest(F.length("l"), F.length("r"))
-    slack = F.when(F.length("l") < long, 0.3).otherwise(0.25)
-    near = short.unionByName(rest).withColumn("edits", F.levenshtein("l", "r")).where(
-        (F.col("edits") <= F.greatest(F.lit(2), (length * slack).cast("int"))) & (F.col("edits") * 2 <= length)
+    near = set_join(sets(left), sets(right), threshold).withColumn("edits", F.levenshtein("l", "r")).where(
+        (F.col("edits") <= F.greatest(F.lit(2), F.floor(length * 3 / 10).cast("int"))) & (F.col("edits") * 2 <= length)
     )
     near = near.join(right.withColumnRenamed("bare", "r"), "r")
     best = near.groupBy("l").agg(F.min(F.struct(F.col("edits"), (-F.col("jaccard")).alias("j"), F.col("entry"))).alias("b"), F.max(length).alias("n"))

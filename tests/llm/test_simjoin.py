@@ -42,3 +42,20 @@ def test_texts_name_entries(spark):
 
 def test_empty_table(spark):
     assert named(spark, []) == {}
+
+
+def test_long_texts_within_the_edit_bound_are_found(spark):
+    rng = random.Random(6)
+    entry = ["faroparanieblaadelant", "abababababababababab", "sensordelluviaycrepuscular", "aaaaaaaaaabbbbbbbbbb"]
+    spoilt = []
+    for i, text in enumerate(entry):
+        most = len(text) * 3 // 10
+        for shift in range(3):
+            letters = list(text)
+            for e in range(most):
+                letters[min(len(text) - 1, shift + e * len(text) // most)] = rng.choice("0123456789")
+            spoilt.append(("".join(letters), f"f{i}"))
+    values = spark.createDataFrame(spoilt, "bare string, want string")
+    reference = spark.createDataFrame([(t, f"f{i}") for i, t in enumerate(entry)], "bare string, entry string")
+    got = {r.bare: r.entry for r in simjoin.closest(values, reference).collect()}
+    assert got == dict(spoilt)
