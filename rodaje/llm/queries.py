@@ -74,8 +74,14 @@ def p10_shared(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("doc").alias("doc_id"), "n_chars", "shared_chars", "share")
 
 
+def p10_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per document: its class of equal texts and the number of other texts it shares a passage with."""
+    found = spans.shared_links(table(spark, sf_dir, "documents"))
+    return found.select(F.col("doc").alias("doc_id"), F.col("class").alias("clase"), F.col("copies").alias("copias"), F.col("links").alias("enlaces"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (p3_found, p5_found, p5_candidates, p6_found, p6_percentiles, p6_merged, p8_ids, p9_packing, p10_found, p10_shared)}
+    return {f.__name__: f for f in (p3_found, p5_found, p5_candidates, p6_found, p6_percentiles, p6_merged, p8_ids, p9_packing, p10_found, p10_shared, p10_links)}
 
 
 def oracle_sql() -> dict[str, str]:
