@@ -2,33 +2,36 @@
 
 from __future__ import annotations
 
+import csv
 from collections.abc import Mapping, Sequence
+from functools import cache
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-#: Proper field names and other ways they are written (fixed values); case, accents and punctuation don't count.
-FIELDS: dict[str, list[str]] = {
-    "periodo": ["mes_declarado"],
-    "nro_inscripcion": ["inscripcion_nro", "numero_inscripcion"],
-    "operador": ["razon_social_operador"],
-    "bandera": ["bandera_estacion"],
-    "provincia": ["prov", "provincia_nombre"],
-    "producto": ["nombre_producto"],
-    "precio_surtidor": ["precio_en_surtidor", "surtidor_precio"],
-    "volumen": ["vol", "volumen_m3"],
-    "no_movimientos": ["no_mov", "sin_movimientos"],
-    "exentos": ["exentos_s_n", "es_exento"],
-    "iva": ["impuesto_iva"],
-    "tasa_municipal": ["tasa_munic"],
-}
-
 ACCENTS = ("áéíóúüñàèìòùâêôãõç", "aeiouunaeiouaeoaoc")
 
-#: The promotion lattice: text takes every type in, number and boolean meet only in text, null below all.
+#: The lattice of delivered JSON types: text takes every type in, number and boolean meet only in text, null below all.
 TYPES = {"null": 0, "boolean": 1, "number": 2, "text": 3}
 
+#: The lattice of column types: a value can be read as a set of these, a column as what all of its values can, and its type is
+#: the first that is left; string if none is.
+READINGS = {"bigint": 1, "boolean": 2, "double": 4, "date": 8}
+
+SEED = Path(__file__).resolve().parent.parent / "seeds" / "campos_alias.csv"
+
+
+@cache
+def aliases(path: str | Path = SEED) -> dict[str, list[str]]:
+    """The proper fields and the ways each is written, from a table with columns alias and campo; case, accents and punctuation don't count."""
+    out: dict[str, list[str]] = {}
+    with open(path, encoding="utf-8", newline="") as f:
+        for row in csv.DictReader(f):
+            out.setdefault(row["campo"], []).append(row["alias"])
+    return out
+
 
 def plain(name: Column) -> Column:
     """A field name without case, accents and punctuation; words stay apart."""
@@ -37,19 +40,27 @@ def plain(name: Column) -> Column:
     return F.regexp_replace(F.regexp_replace(flat, "[^a-z0-9]+", "_"), "^_+|_+$", "")
 
 
-def proper_name(written: Column, fields: Mapping[str, Sequence[str]] = FIELDS) -> Column:
-    """The field a written name means: an agreed spelling, or one letter off a name of six or more; else as written."""
-    flat = plain(written)
-    exact = [(flat.isin([name, *others]), name) for name, others in fields.items()]
-    close = [(F.levenshtein(flat, F.lit(name)) <= 1, name) for name in fields if len(name) >= 6]
-    out = F.when(*_pair(exact[0]))
-    for test in exact[1:] + close:
-        out = out.when(*_pair(test))
-    return out.otherwise(written)
+def proper_name(written: Column, fields: Mapping[str, Sequence[str]] | None = None) -> Column:
+    """The field a written name means: an agreed spelling, or a misprint of a name of six or more letters; else as written."""
+    return F.coalesce(_meaning(written, fields)["field"], written)
 
 
-def _pair(test: tuple[Column, str]) -> tuple[Column, Column]:
-    return test[0], F.lit(test[1])
+def _meaning(written: Column, fields: Mapping[str, Sequence[str]] | None = None) -> Column:
+    """field and rule ('nombre', 'lista' or 'errata') of a written name; both null for a name of its own.
+
+    A misprint is one letter off. A name that goes on after the proper one, or counts it (volumen2, operadora, periodos), is not one.
+    """
+    fields = fields or aliases()
+    flat = plain(written)
+    told = lambda name, rule: F.struct(F.lit(name).alias("field"), F.lit(rule).alias("rule"))
+    misprint = lambda name: (F.levenshtein(flat, F.lit(name)) <= 1) & ~flat.startswith(name) & ~flat.rlike(r"\d")
+    tests = [(flat == name, told(name, "nombre")) for name in fields]
+    tests += [(flat.isin(list(others)), told(name, "lista")) for name, others in fields.items() if others]
+    tests += [(misprint(name), told(name, "errata")) for name in fields if len(name) >= 6]
+    out = F.when(*tests[0])
+    for test in tests[1:]:
+        out = out.when(*test)
+    return out
 
 
 def _json_type(value: Column) -> Column:
@@ -72,7 +83,7 @@ def _cells(lines: DataFrame, file_col: str, text_col: str, extra: Sequence[str]
 
 
 def field_headers(
-    lines: DataFrame, file_col: str, text_col: str, fields: Mapping[str, Sequence[str]] = FIELDS
+    lines: DataFrame, file_col: str, text_col: str, fields: Mapping[str, Sequence[str]] | None = None
 ) -> DataFrame:
     """file, field, written, rank: the header of each file, folded from all its valid lines.
 
@@ -100,7 +111,7 @@ def _rank(kind: Column) -> Column:
 
 def schema_changes(
     lines: DataFrame, file_col: str = "archivo_id", series_col: str = "serie", order_col: str = "orden", text_col: str = "registro",
-    fields: Mapping[str, Sequence[str]] = FIELDS,
+    fields: Mapping[str, Sequence[str]] | None = None,
 ) -> DataFrame:
     """series, order, file, field, change: each file against the one before it in its series.
 
@@ -132,34 +143,83 @@ def schema_changes(
     return listed.join(files.select("file", "series", "order"), "file").select("series", "order", "file", "field", "change")
 
 
+def spellings(
+    lines: DataFrame, file_col: str = "archivo_id", text_col: str = "registro", fields: Mapping[str, Sequence[str]] | None = None
+) -> DataFrame:
+    """written, field, rule, files: every name fields are written with, what it was taken for and why, and in how many files.
+
+    rule is 'nombre' (the proper name but for case and punctuation), 'lista' (an agreed spelling), 'errata' (taken for a misprint) or
+    'propio' (a field of its own).
+    """
+    names = _cells(lines, file_col, text_col).groupBy("file", "written").agg(F.lit(1).alias("_one"))
+    counted = names.groupBy("written").agg(F.count(F.lit(1)).alias("files"))
+    m = _meaning(F.col("written"), fields)
+    return counted.select("written", F.coalesce(m["field"], F.col("written")).alias("field"), F.coalesce(m["rule"], F.lit("propio")).alias("rule"), "files")
+
+
+def _readings(text: Column) -> Column:
+    """The types of READINGS that a value given as text can be read as, as bits."""
+    can = {t: _typed(text, t).isNotNull() for t in READINGS}
+    return sum((F.when(c, READINGS[t]).otherwise(0) for t, c in can.items()), F.lit(0))
+
+
+def union_schema(
+    lines: DataFrame, file_col: str = "archivo_id", text_col: str = "registro", fields: Mapping[str, Sequence[str]] | None = None
+) -> DataFrame:
+    """field, type, files, delivered: the schema that holds every file.
+
+    type is the least column type that all values of the field can be read as; 'void' if none has a value. delivered lists the JSON types
+    it came in. Headers are folded where lines are read, then by file, then by field: each fold is a meet in the lattice.
+    """
+    text = F.try_variant_get("value", "$", "string")
+    kind = _json_type(F.col("value"))
+    bits = F.bit_and(F.when(kind != "null", _readings(text)))
+    by_file = _cells(lines, file_col, text_col).groupBy("file", "written").agg(bits.alias("bits"), F.collect_set(F.when(kind != "null", kind)).alias("kinds"))
+    by_field = by_file.groupBy(proper_name(F.col("written"), fields).alias("field")).agg(
+        F.bit_and("bits").alias("bits"), F.count_distinct("file").alias("files"),
+        F.array_join(F.array_sort(F.array_distinct(F.flatten(F.collect_set("kinds")))), ",").alias("delivered"),
+    )
+    kind_of = F.when(F.col("bits").isNull(), "void")
+    for name, bit in READINGS.items():
+        kind_of = kind_of.when(F.col("bits").bitwiseAND(F.lit(bit)) != 0, name)
+    return by_field.select("field", kind_of.otherwise("string").alias("type"), "files", "delivered")
+
+
 def unified(
     lines: DataFrame, keep: Sequence[str], file_col: str = "archivo_id", text_col: str = "registro", line_col: str = "linea",
-    fields: Mapping[str, Sequence[str]] = FIELDS, types: Mapping[str, str] | None = None,
+    fields: Mapping[str, Sequence[str]] | None = None, types: Mapping[str, str] | None = None,
 ) -> DataFrame:
-    """keep, the proper fields, and otros: every valid line of every file under one schema.
+    """keep, the proper fields, and otros: every valid line of every file under one schema, row by row.
 
-    types names a field's column type (default string); a value is cast to it, decimal commas read as points and s/n, t/f,
-    0/1 as booleans, and null where it does not fit. otros is a JSON object of all other fields as text, null if there
+    A column has the type that `union_schema` gives its field over all files (string for a field without values), or the one
+    named in types; a value that does not fit a named type is null. otros maps all other fields to their values as text, null if there
     are none. Keys of one line that mean the same field: the greatest value that is not null counts.
     """
-    types = dict(types or {})
+    fields = fields or aliases()
+    if types is None or set(types) < set(fields):
+        # One row per proper field.
+        folded = union_schema(lines, file_col, text_col, fields).where(F.col("field").isin(list(fields))).select("field", "type").collect()
+        types = {r[0]: "string" if r[1] == "void" else r[1] for r in folded} | dict(types or {})
     row = [*dict.fromkeys([file_col, line_col, *keep])]
-    rows = lines.select(*row, F.try_parse_json(text_col).alias("_v"), F.xxhash64(text_col).alias("_line")).where(
+    rows = lines.select(*row, F.col(text_col).alias("_text"), F.try_parse_json(text_col).alias("_v")).where(
         F.col("_v").isNotNull() & F.schema_of_variant("_v").startswith("OBJECT")
     )
-    cells = rows.lateralJoin(lines.sparkSession.tvf.variant_explode_outer(F.col("_v").outer())).select(
-        *row, "_line", proper_name(F.col("key"), fields).alias("_field"), F.try_variant_get("value", "$", "string").alias("_text")
-    )
-    column = lambda f: _typed(F.max(F.when(F.col("_field") == f, F.col("_text"))), types.get(f, "string")).alias(f)
-    other = F.when(~F.col("_field").isin(list(fields)) & F.col("_text").isNotNull(), F.struct(F.col("_field"), F.col("_text")))
-    rest = F.map_from_entries(F.array_sort(F.collect_set(other)))
-    return cells.groupBy(*row, "_line").agg(*[column(f) for f in fields], F.when(F.size(rest) > 0, F.to_json(rest)).alias("otros")).drop("_line")
+    entries = F.map_entries(F.from_json("_text", "map<string,string>"))
+    rows = rows.select(*row, F.transform(entries, lambda e: F.struct(proper_name(e["key"], fields).alias("f"), e["value"].alias("v"))).alias("_e"))
+    value = lambda f: F.array_max(F.transform(F.filter("_e", lambda e: e["f"] == f), lambda e: e["v"]))
+    rest = F.filter("_e", lambda e: ~e["f"].isin(list(fields)) & e["v"].isNotNull())
+    otros = F.map_from_entries(F.transform(rest, lambda e: F.struct(e["f"], e["v"])))
+    return rows.select(*row, *[_typed(value(f), types.get(f, "string")).alias(f) for f in fields], F.when(F.size(rest) > 0, otros).alias("otros"))
 
 
 def _typed(text: Column, kind: str) -> Column:
     if kind == "boolean":
         flat = F.lower(F.trim(text))
         return F.when(flat.isin("true", "t", "1", "s", "si", "sí"), True).when(flat.isin("false", "f", "0", "n", "no"), False)
-    if kind in ("double", "int", "long", "bigint"):
-        return F.regexp_replace(F.trim(text), ",", ".").try_cast(kind)
+    if kind == "bigint":
+        return F.when(F.trim(text).rlike(r"^[+-]?\d{1,18}$"), F.trim(text).try_cast("bigint"))
+    if kind == "double":
+        return F.when(F.trim(text).rlike(r"^[+-]?\d+([.,]\d+)?([eE][+-]?\d+)?$"), F.regexp_replace(F.trim(text), ",", ".").try_cast("double"))
+    if kind == "date":
+        return F.when(F.trim(text).rlike(r"^\d{4}-\d{2}-\d{2}$"), F.trim(text).try_cast("date"))
     return text

@@ -42,13 +42,25 @@ def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p7_unified(spark: SparkSession, sf_dir: str) -> DataFrame:
-    types = {"nro_inscripcion": "bigint", "no_movimientos": "boolean", "exentos": "boolean"} | dict.fromkeys(
-        ["precio_surtidor", "volumen", "iva", "tasa_municipal"], "double"
-    )
-    return drift.unified(table(spark, sf_dir, "declaraciones_crudas"), ["serie", "orden", "recibido"], types=types)
+    """All valid lines under the union schema; the fields without a proper name as text 'name=value; ...'."""
+    wide = drift.unified(table(spark, sf_dir, "declaraciones_crudas"), ["serie", "orden", "recibido"])
+    pairs = F.array_sort(F.transform(F.map_entries("otros"), lambda e: F.concat(e["key"], F.lit("="), e["value"])))
+    return wide.withColumn("otros", F.array_join(pairs, "; "))
+
+
+def p7_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The union schema of all files: each field's column type, its number of files and the JSON types it was delivered in."""
+    folded = drift.union_schema(table(spark, sf_dir, "declaraciones_crudas"))
+    return folded.select(F.col("field").alias("campo"), F.col("type").alias("tipo"), F.col("files").alias("archivos"), F.col("delivered").alias("entregado"))
+
+
+def p7_spellings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every spelling of a field, the field it was taken for, and by which rule."""
+    told = drift.spellings(table(spark, sf_dir, "declaraciones_crudas"))
+    return told.select(F.col("written").alias("escrito"), F.col("field").alias("campo"), F.col("rule").alias("regla"), F.col("files").alias("archivos"))
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p2_found, p4_found, p7_found, p7_unified)}
+QUERIES = {f.__name__: f for f in (p1_found, p2_found, p4_found, p7_found, p7_unified, p7_schema, p7_spellings)}
 
 _CHANGES = """
     {name}_once AS (SELECT k, d, min(v) AS v, bool_or(v IS NULL) AS missing FROM {name} WHERE k IS NOT NULL AND d IS NOT NULL GROUP BY k, d),

@@ -35,13 +35,40 @@ def test_file_without_valid_lines_and_empty_table(spark):
 
 
 def test_proper_names(spark):
-    names = {"PRECIO SURTIDOR": "precio_surtidor", "precioSurtidor": "precio_surtidor", "precio_anterior": "precio_anterior", "EXENTOS (S/N)": "exentos", "exentos_detalle": "exentos_detalle", "produto": "producto", "nro. inscripcion": "nro_inscripcion", "volumen_acum": "volumen_acum", "IVA": "iva"}
+    names = {"PRECIO SURTIDOR": "precio_surtidor", "precioSurtidor": "precio_surtidor", "precio_anterior": "precio_anterior", "EXENTOS (S/N)": "exentos", "exentos_detalle": "exentos_detalle", "produto": "producto", "nro. inscripcion": "nro_inscripcion", "volumen_acum": "volumen_acum", "IVA": "iva", "no_movimentos": "no_movimientos", "volumen1": "volumen1", "volumen2": "volumen2", "provincia2": "provincia2", "productos": "productos", "operadora": "operadora", "periodos": "periodos", "exento": "exentos"}
     df = spark.createDataFrame([(n,) for n in names], "n string").select("n", drift.proper_name(F.col("n")).alias("p"))
     assert dict(df.collect()) == names
 
 
-def test_unified_table(spark):
-    files = [(1, "S", 1, [{"Volumen": "69,5", "EXENTOS (S/N)": "t", "turno": "noche", "iva": None}, "{"]), (2, "S", 2, [{"vol": 3, "exento": 0}])]
-    out = drift.unified(lines(spark, files), ["serie"], types={"volumen": "double", "exentos": "boolean", "iva": "double"})
-    got = [(r.archivo_id, r.volumen, r.exentos, r.iva, r.otros) for r in out.orderBy("archivo_id").collect()]
-    assert got == [(1, 69.5, True, None, '{"turno":"noche"}'), (2, 3.0, False, None, None)]
+def test_unified_table_has_the_types_all_files_can_be_read_as(spark):
+    files = [
+        (1, "S", 1, [{"Volumen": "69,5", "EXENTOS (S/N)": "t", "turno": "noche", "iva": None, "periodo": "2026/01", "no_mov": "2026-01-31", "nro_inscripcion": "0012"}, "{"]),
+        (2, "S", 2, [{"vol": 3, "exento": 0, "periodo": 202602, "nro_inscripcion": 7}, {"tasa_municipal": "1.5", "iva": True}]),
+        (3, "S", 3, [{"tasa_municipal": "exenta", "no_movimientos": "2026-02-28"}]),
+    ]
+    out = drift.unified(lines(spark, files), ["serie"])
+    kinds = dict(out.dtypes)
+    assert {f: kinds[f] for f in ("volumen", "exentos", "periodo", "no_movimientos", "nro_inscripcion", "tasa_municipal", "iva", "operador")} == {
+        "volumen": "double", "exentos": "boolean", "periodo": "string", "no_movimientos": "date", "nro_inscripcion": "bigint",
+        "tasa_municipal": "string", "iva": "boolean", "operador": "string",
+    }
+    got = [(r.archivo_id, r.linea, r.volumen, r.exentos, r.periodo, r.nro_inscripcion, r.tasa_municipal, r.otros) for r in out.orderBy("archivo_id", "linea").collect()]
+    assert got == [
+        (1, 0, 69.5, True, "2026/01", 12, None, {"turno": "noche"}), (2, 0, 3.0, False, "202602", 7, None, None),
+        (2, 1, None, None, None, None, "1.5", None), (3, 0, None, None, None, None, "exenta", None),
+    ]
+    named = drift.unified(lines(spark, files), [], types={"tasa_municipal": "double"})
+    assert dict(named.dtypes)["tasa_municipal"] == "double"
+    assert drift.unified(lines(spark, []), ["serie"]).count() == 0
+
+
+def test_union_schema_and_spellings(spark):
+    files = [(1, "S", 1, [{"vol": 1, "x": "a"}, {"vol": "2,5"}]), (2, "S", 1, [{"volumne": 1, "volumen": None, "volumn": 3}])]
+    df = lines(spark, files)
+    assert {(r.field, r.type, r.files, r.delivered) for r in drift.union_schema(df).collect()} == {
+        ("volumen", "double", 2, "number,text"), ("x", "string", 1, "text"), ("volumne", "bigint", 1, "number"),
+    }
+    assert {(r.written, r.field, r.rule, r.files) for r in drift.spellings(df).collect()} == {
+        ("vol", "volumen", "lista", 1), ("x", "x", "propio", 1), ("volumen", "volumen", "nombre", 1), ("volumn", "volumen", "errata", 1),
+        ("volumne", "volumne", "propio", 1),
+    }
