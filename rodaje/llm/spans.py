@@ -156,7 +156,7 @@ def copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", span
     """
     keys = _long_enough(docs, id_col, text_col, span).select(
         "doc", F.xxhash64("text").alias("h1"), F.xxhash64(F.lit(7), "text").alias("h2")
-    ).distinct()
+    ).repartition("h1", "h2").distinct()
     groups = keys.groupBy("h1", "h2").agg(F.min("doc").alias("rep"), F.count(F.lit(1)).alias("n")).where("n > 1")
     return keys.join(groups, ["h1", "h2"]).select("doc", "rep", "n")
 
@@ -203,7 +203,8 @@ def pieces(docs: DataFrame, id_col: str, text_col: str, span: int, k: int, same:
     """
     every = anchors(docs, id_col, text_col, span, k).where("fp is not null and doc is not null").repartition("fp")
     # Both uses read the same columns, so that the anchors are made and moved only once.
-    shared = every.groupBy("fp").agg(F.min("doc").alias("_a"), F.max("doc").alias("_b")).where("_a < _b").select("fp")
+    row = F.struct("doc", "pos", "n")
+    shared = every.groupBy("fp").agg(F.min(row).alias("_a"), F.max(row).alias("_b")).where("_a.doc < _b.doc").select("fp")
     kept = every.join(shared, "fp").groupBy("doc").agg(F.collect_set(F.struct("pos", "n", "fp")).alias("spots"))
     known = same.select("doc", "rep")
     kept = kept.join(known, "doc", "left").where("rep is null or rep = doc").select("doc", "spots", F.col("rep").isNotNull().alias("many"))
