@@ -14,10 +14,17 @@ FUEL_GROUP = ["periodo", "provincia_id", "producto", "bandera"]
 
 
 def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    reference = simjoin.reference_list(table(spark, sf_dir, "caracteristicas"))
+    reference = simjoin.reference_list(table(spark, sf_dir, "caracteristicas"), simjoin.wordings(spark))
     return simjoin.named_entries(table(spark, sf_dir, "equipamiento_items"), reference).withColumnRenamed("entry", "caracteristica_id")
 
 
+def p3_unmatched(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The texts that name no entry, with the number of items: what the list of wordings lacks."""
+    items = table(spark, sf_dir, "equipamiento_items")
+    none = p3_found(spark, sf_dir).where("caracteristica_id = 'ninguna'").select("item_id")
+    return items.select("item_id", "item").distinct().join(none, "item_id").groupBy(F.trim("item").alias("item")).agg(F.count_distinct("item_id").alias("items"))
+
+
 def _versions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linkage.versions(table(spark, sf_dir, "matching_0km"), table(spark, sf_dir, "guia_versiones"))
 
@@ -81,7 +88,7 @@ def p10_links(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (p3_found, p5_found, p5_candidates, p6_found, p6_percentiles, p6_merged, p8_ids, p9_packing, p10_found, p10_shared, p10_links)}
+    return {f.__name__: f for f in (p3_found, p3_unmatched, p5_found, p5_candidates, p6_found, p6_percentiles, p6_merged, p8_ids, p9_packing, p10_found, p10_shared, p10_links)}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -7,66 +7,17 @@ Lengths and positions bound the overlap before it is computed exactly.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+import csv
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from rodaje.operators.skew import salted_join
 from rodaje.session import cut
 
-#: Other words for the entries of the list of characteristics (fixed values). Digits stand for any number.
-SYNONYMS: dict[str, Sequence[str]] = {
-    "f01": ["2 airbags delanteros", "airbag frontal de conductor y acompañante", "bolsa de aire frontal x2", "dos airbags al frente"],
-    "f02": ["airbag de cabeza en ambas filas", "airbags tipo cortina", "bolsas de aire en el techo", "cortinas inflables laterales"],
-    "f03": ["airbag inferior de rodilla lado conductor", "airbag para rodillas", "bolsa de aire para las rodillas"],
-    "f04": ["control de estabilidad del vehículo", "estabilidad electrónica ESC/ESP", "programa de estabilidad ESP", "sistema ESC"],
-    "f05": ["frenada automática con detección de peatones", "frenado de emergencia automático", "freno autónomo de urgencia AEB", "sistema AEB"],
-    "f06": ["ACC con función seguir y parar", "control crucero con radar", "crucero adaptativo ACC", "crucero inteligente adaptativo"],
-    "f07": ["control de crucero convencional", "crucero simple no adaptativo", "velocidad de crucero programable"],
-    "f08": ["asistente para permanecer en el carril", "ayuda de mantenimiento de carril LKA", "corrección de carril activa", "lane keeping assist"],
-    "f09": ["alerta punto ciego en espejos", "blind spot monitor", "detector de ángulo ciego", "monitor de punto ciego BSM"],
-    "f10": ["cam. de retroceso en el portón", "cámara de reversa", "cámara trasera con guías", "rear view camera"],
-    "f11": ["cámaras 360 grados", "monitor de vista 360", "sistema de visión de pájaro con 4 cámaras", "vista envolvente 360"],
-    "f12": ["ayuda sonora de estacionamiento posterior", "park distance trasero", "radar de estacionamiento trasero", "sensor trasero de estacionamiento"],
-    "f13": ["ayuda sonora de estacionamiento frontal", "park distance delantero", "radar de estacionamiento delantero", "sensor delantero de estacionamiento"],
-    "f14": ["arranque en pendiente HSA", "asistencia de ascenso en pendientes", "HHC ayuda en rampa", "hill start assist"],
-    "f15": ["asistente de bajada HDC", "control de velocidad en bajadas", "hill descent control"],
-    "f16": ["anclaje ISOFIX + top tether", "fijación ISOFIX plazas traseras", "ganchos para sillita de niños", "sujeción ISOFIX"],
-    "f17": ["indicador de baja presión de neumáticos", "monitoreo de presión TPMS", "sensor de presión de ruedas", "TPMS"],
-    "f18": ["alerta de fatiga al volante", "aviso de descanso al conductor", "driver attention alert", "monitor de somnolencia"],
-    "f19": ["A/A manual", "aire acondicionado con comandos giratorios", "climatización manual frío/calor"],
-    "f20": ["aire acondicionado automático de una zona", "clima automático monozona", "climatizador digital automático simple"],
-    "f21": ["clima automático bi-zona", "climatización independiente conductor/acompañante", "climatizador dual zone"],
-    "f22": ["difusores de aire traseros", "rejillas de aire en plazas posteriores", "ventilación trasera"],
-    "f23": ["acceso manos libres por proximidad", "apertura de puertas por presencia", "keyless entry", "smart entry"],
-    "f24": ["arranque con pulsador", "botón start/stop de motor", "encendido del motor sin llave por botón", "push button start"],
-    "f25": ["electronic parking brake", "EPB con auto hold", "freno de estacionamiento electrónico"],
-    "f26": ["asientos delanteros con calefacción", "calefacción en butacas", "heated seats"],
-    "f27": ["ajuste eléctrico 8 posiciones asiento conductor", "asiento conductor de regulación eléctrica", "butaca eléctrica con memoria"],
-    "f28": ["asientos símil cuero", "butacas de cuero", "tapizados de ecocuero", "upholstery leather"],
-    "f29": ["leather steering wheel", "volante de cuero multifunción", "volante revestido en símil cuero"],
-    "f30": ["cambios en el volante (paddles)", "paddle shift", "palancas de cambio detrás del volante"],
-    "f31": ["sunroof eléctrico", "techo de cristal panorámico", "techo panorámico vidriado", "techo solar corredizo"],
-    "f32": ["apertura eléctrica del portón trasero", "baúl eléctrico manos libres", "power tailgate"],
-    "f33": ["limpiaparabrisas automático", "rain sensor", "sensor de gotas de lluvia"],
-    "f34": ["encendido automático de faros", "faros automáticos crepusculares", "sensor crepuscular de faros"],
-    "f35": ["espejo antideslumbrante automático", "espejo interior día/noche automático", "retrovisor interior electrocrómico"],
-    "f36": ["central multimedia touch de 8 pulgadas", "display central táctil 10", "pantalla multimedia 9", "radio con pantalla 7 plg"],
-    "f37": ["cuadro de instrumentos digital de 10 pulgadas", "instrumental digital 7", "panel de instrumentos TFT 8"],
-    "f38": ["Android Auto y CarPlay con cable", "conexión cableada CarPlay/Android Auto", "smartphone mirroring por USB"],
-    "f39": ["Android Auto y CarPlay inalámbrico", "conexión sin cable CarPlay/Android Auto", "wireless CarPlay / Android Auto"],
-    "f40": ["base de carga por inducción", "cargador inalámbrico Qi", "cargador wireless para smartphone"],
-    "f41": ["app de conectividad con rastreo", "control remoto del vehículo desde el celular", "servicios conectados vía app"],
-    "f42": ["alloy wheels 17", "llanta aleación R16", "llantas de aleación 18", "rodado 16 en aluminio"],
-    "f43": ["faro principal con tecnología LED", "faros LED integrales", "LED headlamps", "luces bajas y altas LED"],
-    "f44": ["daytime running lights", "DRL de LED", "luces de circulación diurna", "luz diurna"],
-    "f45": ["antinieblas delanteros", "faros rompeniebla", "fog lamps"],
-    "f46": ["barras longitudinales de techo", "rieles en el techo", "roof rails"],
-    "f47": ["bi-tono", "techo bicolor", "techo color contraste negro"],
-    "f48": ["4WD conectable", "4x4 con reductora", "tracción integral AWD", "tracción total"],
-}
+#: The table of other words for the entries of the list of characteristics.
+WORDINGS = Path(__file__).resolve().parent / "seeds" / "otras_palabras.csv"
 
 ACCENTS = ("áàâãäéèêëíìîïóòôõöúùûüñç", "aaaaaeeeeiiiiooooouuuunc")
 
@@ -142,8 +93,8 @@ def closest(values: DataFrame, reference: DataFrame, threshold: float = 0.25) ->
     values has a column bare, reference has bare and entry. A value may be off by three tenths of the longer text's
     length, two edits at least, half the length at most. An edit changes two runs of two letters, so texts of up to n letters that
     are e edits apart have a similarity of (n + 1 - 2 e) / (n + 1 + 2 e) or more: 0.25 at the default from six letters on; texts of
-    four or five letters two edits apart may fall short of it. Of the pairs that the set join finds, the one with fewest edits
-    counts, then the most similar, then the least entry.
+    four or five letters two edits apart may fall short of it. Of the pairs that the set join finds, those beyond these edits are
+    dropped, and of the others the most similar counts, then the one with fewest edits, then the least entry.
     """
     left = cut(values.select("bare").where("bare <> ''").distinct())
     right = cut(reference.select("bare", "entry").where("bare <> ''").groupBy("bare").agg(F.min("entry").alias("entry")))
@@ -153,17 +104,26 @@ def closest(values: DataFrame, reference: DataFrame, threshold: float = 0.25) ->
         (F.col("edits") <= F.greatest(F.lit(2), F.floor(length * 3 / 10).cast("int"))) & (F.col("edits") * 2 <= length)
     )
     near = near.join(right.withColumnRenamed("bare", "r"), "r")
-    best = near.groupBy("l").agg(F.min(F.struct(F.col("edits"), (-F.col("jaccard")).alias("j"), F.col("entry"))).alias("b"), F.max(length).alias("n"))
+    best = near.groupBy("l").agg(F.min(F.struct((-F.col("jaccard")).alias("j"), F.col("edits"), F.col("entry"))).alias("b"), F.max(length).alias("n"))
     best = best.select(F.col("l").alias("bare"), F.col("b.entry").alias("entry"), (F.col("b.edits") / F.col("n")).alias("distance"), (-F.col("b.j")).alias("jaccard"))
     return cut(best)
 
 
-def reference_list(entries: DataFrame, id_col: str = "caracteristica_id", name_col: str = "nombre", synonyms: Mapping[str, Sequence[str]] = SYNONYMS) -> DataFrame:
-    """bare, entry, parts: the entries' names and their synonyms in the form values are compared in."""
-    spark: SparkSession = entries.sparkSession
-    more = spark.createDataFrame([(k, s) for k, v in synonyms.items() for s in v], T.StructType([T.StructField("entry", T.StringType()), T.StructField("text", T.StringType())]))
+def wordings(spark: SparkSession, path: str | Path = WORDINGS) -> DataFrame:
+    """entry, text: other words for entries, from a small table with columns caracteristica_id and texto. In it digits stand for any number."""
+    with open(path, encoding="utf-8", newline="") as f:
+        rows = [(r["caracteristica_id"], r["texto"]) for r in csv.DictReader(f)]
+    return spark.createDataFrame(rows, "entry string, text string")
+
+
+def reference_list(entries: DataFrame, other: DataFrame | None = None, id_col: str = "caracteristica_id", name_col: str = "nombre") -> DataFrame:
+    """bare, entry, parts: the entries' names, and other words for them (entry, text), in the form values are compared in.
+
+    Words for an entry that the list does not have are left out, and so are null names.
+    """
     known = entries.select(F.col(id_col).alias("entry"), F.col(name_col).alias("text"))
-    known = known.unionByName(more.join(known.select("entry").distinct(), "entry", "left_semi"))
+    if other is not None:
+        known = known.unionByName(other.select("entry", "text").join(known.select("entry").distinct(), "entry", "left_semi"))
     parts = parts_of(F.col("text"))
     return known.where("entry is not null and text is not null").select(F.array_join(parts, "").alias("bare"), "entry", F.size(parts).alias("parts"))
 
@@ -174,7 +134,7 @@ def named_entries(
     """id_col, entry: each entry that a text names, or one row with `none`.
 
     A text may join several names by 'y', '+', '|' or ';'. Every run of its parts as long as the reference list has names
-    of is looked up; runs are then taken closest first, longer first, none of them overlapping. Equal texts are looked up
+    of is looked up; runs are then taken most similar first, longer first, none of them overlapping. Equal texts are looked up
     once. Null, empty and unmatched texts name none; rows without an id are left out, repeated rows count once.
     """
     rows = items.where(F.col(id_col).isNotNull()).select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
@@ -193,9 +153,9 @@ def named_entries(
     # Written once: the texts are parsed here and read by every step of the join.
     looked = cut(texts.select("_text", F.explode(runs).alias("run")).select("_text", "run.*"))
     hits = looked.join(closest(looked, reference, threshold), "bare")
-    # Taken closest first: a run is kept if no kept run overlaps it.
+    # Taken most similar first: a run is kept if no kept run overlaps it.
     ranked = hits.groupBy("_text").agg(
-        F.array_sort(F.collect_list(F.struct("distance", (F.col("start") - F.col("stop")).alias("width"), (-F.col("jaccard")).alias("j"), "start", "stop", "entry"))).alias("h")
+        F.array_sort(F.collect_list(F.struct((-F.col("jaccard")).alias("j"), (F.col("start") - F.col("stop")).alias("width"), "distance", "start", "stop", "entry"))).alias("h")
     )
     kind = ranked.schema["h"].dataType.simpleString()
     kept = F.aggregate(

@@ -24,7 +24,7 @@ def named(spark, items):
     entries = spark.createDataFrame(ENTRIES, "caracteristica_id string, nombre string")
     df = spark.createDataFrame(items, "item_id long, item string").withColumn("entry", F.lit("clash"))
     got = {}
-    for r in simjoin.named_entries(df, simjoin.reference_list(entries)).collect():
+    for r in simjoin.named_entries(df, simjoin.reference_list(entries, simjoin.wordings(spark))).collect():
         got.setdefault(r.item_id, set()).add(r.entry)
     return got
 
@@ -59,3 +59,24 @@ def test_long_texts_within_the_edit_bound_are_found(spark):
     reference = spark.createDataFrame([(t, f"f{i}") for i, t in enumerate(entry)], "bare string, entry string")
     got = {r.bare: r.entry for r in simjoin.closest(values, reference).collect()}
     assert got == dict(spoilt)
+
+
+def test_misprints_of_names_that_are_not_in_the_table_of_wordings(spark):
+    """Names made up here, without any other words for them: nine of ten misprinted ones are found, and to no wrong entry."""
+    rng = random.Random(8)
+    syllable = lambda: rng.choice("bcdfglmnprstv") + rng.choice("aeiou")
+    names = {f"e{i}": " ".join("".join(syllable() for _ in range(rng.randint(2, 4))) for _ in range(rng.randint(1, 3))) for i in range(60)}
+    entries = spark.createDataFrame(list(names.items()), "caracteristica_id string, nombre string")
+    items = []
+    for i in range(600):
+        entry = f"e{i % 60}"
+        letters = list(names[entry])
+        for _ in range(1 + len(letters) // 12):
+            at = rng.randrange(len(letters))
+            letters[at : at + 1] = rng.choice([[], [letters[at]] * 2, [rng.choice("aeiouxyz")]])
+        items.append((i, "".join(letters)))
+    df = spark.createDataFrame(items, "item_id long, item string")
+    got = [(r.item_id, r.entry) for r in simjoin.named_entries(df, simjoin.reference_list(entries)).collect() if r.entry != "ninguna"]
+    right = sum(e == f"e{i % 60}" for i, e in got)
+    assert right >= 0.9 * len(items)
+    assert len(got) - right <= 0.01 * len(items)
