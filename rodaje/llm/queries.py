@@ -25,17 +25,30 @@ def p3_unmatched(spark: SparkSession, sf_dir: str) -> DataFrame:
     return items.select("item_id", "item").distinct().join(none, "item_id").groupBy(F.trim("item").alias("item")).agg(F.count_distinct("item_id").alias("items"))
 
 
-def _versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _versions(spark: SparkSession, sf_dir: str) -> linkage.Linkage:
     return linkage.versions(table(spark, sf_dir, "matching_0km"), table(spark, sf_dir, "guia_versiones"))
 
 
 def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _versions(spark, sf_dir).where("confianza >= 0.5").select("registro_id", "guia_id")
+    return _versions(spark, sf_dir).pairs(0.5).select(F.col("id_a").alias("registro_id"), F.col("id_b").alias("guia_id"))
+
+
+def p5_confidence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The matched pairs of records with their confidence."""
+    found = _versions(spark, sf_dir).pairs(0.5)
+    return found.select(F.col("id_a").alias("registro_id"), F.col("id_b").alias("guia_id"), F.col("confidence").alias("confianza"))
 
 
 def p5_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every candidate pair with its confidence."""
-    return _versions(spark, sf_dir)
+    """Every pair of classes of one model name with its votes and confidence; pares is the number of pairs of records it stands for."""
+    every = _versions(spark, sf_dir).class_pairs()
+    return every.select(F.col("sig_a").alias("clase_a"), F.col("sig_b").alias("clase_b"), *linkage.FUNCTIONS, F.col("weight").alias("pares"), F.col("confidence").alias("confianza"))
+
+
+def p5_members(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The class of each record."""
+    told = _versions(spark, sf_dir).members()
+    return told.select(F.when(F.col("source") == "a", "matching_0km").otherwise("guia_versiones").alias("tabla"), "id", F.col("sig").alias("clase"))
 
 
 def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -88,7 +101,7 @@ def p10_links(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (p3_found, p3_unmatched, p5_found, p5_candidates, p6_found, p6_percentiles, p6_merged, p8_ids, p9_packing, p10_found, p10_shared, p10_links)}
+    return {f.__name__: f for f in (p3_found, p3_unmatched, p5_found, p5_confidence, p5_candidates, p5_members, p6_found, p6_percentiles, p6_merged, p8_ids, p9_packing, p10_found, p10_shared, p10_links)}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -44,18 +44,43 @@ def tables(spark):
 
 def test_links_versions_with_confidence(spark):
     new, guide, truth = tables(spark)
-    got = {(r.registro_id, r.guia_id): r.confianza for r in linkage.versions(new, guide).collect()}
-    assert {k for k, c in got.items() if c >= 0.5} == truth
-    assert all(0 <= c <= 1 for c in got.values())
+    linked = linkage.versions(new, guide)
+    assert {(r.id_a, r.id_b) for r in linked.pairs().collect()} == truth
+    # Every pair of records of one model name is in exactly one pair of classes, pairs against the trim included.
+    by_model = {}
+    for side, of in (("a", linked.a), ("b", linked.b)):
+        for r in of.collect():
+            by_model.setdefault(r.name, {"a": 0, "b": 0})[side] += 1
+    every = linked.class_pairs().collect()
+    assert sum(r.weight for r in every) == sum(m["a"] * m["b"] for m in by_model.values())
+    assert any(r.v_trim < 0 for r in every) and all(0 <= r.confidence <= 1 for r in every)
+    known = {(r.source, r.sig) for r in linked.members().collect()}
+    assert all(("a", r.sig_a) in known and ("b", r.sig_b) in known for r in every)
 
 
 def test_empty_tables(spark):
     new, guide, _ = tables(spark)
-    assert linkage.versions(new.limit(0), guide).count() == 0
-    assert linkage.versions(new, guide.limit(0)).count() == 0
+    assert linkage.versions(new.limit(0), guide).pairs().count() == 0
+    assert linkage.versions(new, guide.limit(0)).class_pairs().count() == 0
 
 
-def test_trims_are_spelled_out(spark, rows):
-    df = spark.createDataFrame([("URB",), ("URBANA",), ("UBRANA",), ("TTN",), ("XR",), (None,), ("PLS",)], "trim string")
-    out = linkage.with_full_trim(df, ["PACKPLUS", "PULSO", "TITANIA", "URBANA", "XR"])
-    assert sorted(str(r.trim) for r in out.collect()) == ["None", "PULSO", "TITANIA", "URBANA", "URBANA", "URBANA", "XR"]
+def test_trims_are_spelled_out(spark):
+    """Any number of full names, however rare each: a variant follows the name that is more frequent than it."""
+    names = ["PACKPLUS", "PULSO", "TITANIA", "URBANA", "XR", *[f"{a}{b}O{a}IRA" for a in "BCDFGLMNR" for b in "AEIU"]]
+    trims = names * 6 + ["URB", "UBRANA", "TTN", "PLS", "RBANA", "BAOBIR"] + [None]
+    df = spark.createDataFrame([(t,) for t in trims], "trim string")
+    full = linkage.full_trims(df)
+    got = {r.trim: r.full for r in full.collect()}
+    assert {k: got.get(k) for k in ("URB", "UBRANA", "TTN", "PLS", "RBANA", "BAOBIR")} == {
+        "URB": "URBANA", "UBRANA": "URBANA", "TTN": "TITANIA", "PLS": "PULSO", "RBANA": "URBANA", "BAOBIR": "BAOBIRA",
+    }
+    assert not set(names) & set(got)
+    assert linkage.with_full_trim(df, full).where("trim is null").count() == 1
+
+
+def test_a_misprinted_model_name_meets_its_sole_partner(spark):
+    row = "id long, brand string, name string"
+    a = spark.createDataFrame([(1, "X", "SALIZAMO"), (2, "X", "FOVE"), (3, "X", "KETUNABO"), (4, "Y", "MIPEFESO"), (5, "X", "LEREKIDI"), (6, "X", "LEREKIDA"), (7, None, "BAGUKETO")], row)
+    b = spark.createDataFrame([(1, "X", "SALIZAM"), (2, "X", "FOVI"), (3, "X", "KETUNABO"), (4, "X", "MIPEFESA"), (5, "X", "LEREKID"), (6, "X", "KETUNABA"), (7, None, "BAGUKETI")], row)
+    got = {r.id: r.name for r in linkage.aligned_names(a, b).collect()}
+    assert got == {1: "SALIZAMO", 2: "FOVI", 3: "KETUNABO", 4: "MIPEFESA", 5: "LEREKID", 6: "KETUNABA", 7: "BAGUKETI"}
