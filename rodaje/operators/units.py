@@ -2,17 +2,17 @@
 
 The hidden state of a record is its unit. Where the record names its unit the state is known; where it is silent,
 Viterbi decoding picks the units that keep the level of the series smooth: a jump of the log value costs in
-proportion to its size, a switch of unit costs a constant, and so does any unit but the usual one. Long series
-are cut into blocks; minimal path costs between the ends of blocks compose like matrices, so blocks are decoded in
-parallel and still give the one best path of the whole series.
+proportion to its size, a switch of unit costs a constant, and so does any unit but the usual one. Records are dealt to
+tasks by ranges of (series, date, id), so a series of any length is spread over as many tasks as it fills. Minimal path
+costs between the ends of its parts compose like matrices: the parts are decoded in parallel and give the one best path of the whole series.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Mapping, Sequence
+from collections.abc import Callable, Iterator, Mapping, Sequence
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -29,14 +29,8 @@ UNITS: dict[str, tuple[str, bool]] = {
 #: the table's general level by a factor e.
 JUMP, SWITCH, UNUSUAL, OFF = 2.0, 1.0, 1.5, 1.0
 
-Paths = tuple[np.ndarray, np.ndarray, np.ndarray]
-
-
-def _arrays(pdf: pd.DataFrame, states: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    level = pdf[[f"l{s}" for s in range(states)]].to_numpy(dtype=float)
-    cost = pdf[[f"c{s}" for s in range(states)]].to_numpy(dtype=float)
-    key = pdf[["series", "b1", "b2"]].to_numpy()
-    return level, cost, np.flatnonzero(np.concatenate([[True], (key[1:] != key[:-1]).any(axis=1)]))
+#: Of paths that cost the same the one through lower states counts, wherever a series is parted.
+TIE = 1e-7
 
 
 def _moves(before: np.ndarray, now: np.ndarray) -> np.ndarray:
@@ -82,147 +76,172 @@ def viterbi(
     return state
 
 
-def _whole_blocks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Batches that end where a block ends."""
-    held: pd.DataFrame | None = None
-    for pdf in batches:
-        pdf = pdf if held is None else pd.concat([held, pdf], ignore_index=True)
-        if not len(pdf):
-            continue
-        key = pdf[["series", "b1", "b2"]].to_numpy()
-        cut = int(np.flatnonzero((key != key[-1]).any(axis=1))[-1]) + 1 if (key != key[-1]).any() else 0
-        if cut:
-            yield pdf.iloc[:cut].reset_index(drop=True)
-        held = pdf.iloc[cut:].reset_index(drop=True)
-    if held is not None and len(held):
-        yield held
-
-
-def _decode(states: int):
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in _whole_blocks(batches):
-            level, cost, starts = _arrays(pdf, states)
-            first, last = (pdf[c].fillna(-1).to_numpy(dtype=int)[starts] for c in ("first", "last"))
-            yield pd.DataFrame({"id": pdf["id"], "state": viterbi(level, cost, starts, first, last).astype("int32")})
+def _chained(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Least path costs over two stretches: matrix products in which sums take the place of products and minima that of sums."""
+    return (a[:, :, :, None] + b[:, None, :, :]).min(axis=2)
+
+
+def _through(paths: np.ndarray | None, before: np.ndarray | None, level: np.ndarray, cost: np.ndarray) -> np.ndarray:
+    """The least cost from each first to each last state over the records seen so far (paths, ending at level before) and these."""
+    n = level.shape[1]
+    if paths is None:
+        paths = np.where(np.eye(n, dtype=bool), cost[0][:, None], np.inf)
+        before, level, cost = level[0], level[1:], cost[1:]
+    if not len(level):
+        return paths
+    steps = _moves(np.concatenate([before[None], level[:-1]]), level) + cost[:, None, :]
+    while len(steps) > 1:
+        odd = steps[-1:] if len(steps) % 2 else steps[:0]
+        steps = np.concatenate([_chained(steps[: len(steps) // 2 * 2 : 2], steps[1::2]), odd])
+    return _chained(paths[None], steps)[0]
+
+
+class _Model:
+    """Levels and costs of the states of records, from the logs of amount and rate and the unit they state (-1: none)."""
+
+    def __init__(self, units: Mapping[str, tuple[str, bool]], usual: str, silent: Sequence[str], middle: float | None) -> None:
+        self.factor = np.array([float(np.log(float(f))) for f, _ in units.values()])
+        self.dollars = np.array([d for _, d in units.values()])
+        self.open = np.array([0.0 if n == usual else UNUSUAL if n in silent else np.inf for n in units])
+        self.middle = middle
+
+    def __call__(self, table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        x, fx, said = (table.column(c).to_numpy() for c in ("_x", "_fx", "_said"))
+        # An amount in dollars without a rate has no level.
+        level = np.nan_to_num(x[:, None] + self.factor + np.where(self.dollars, fx[:, None], 0.0), nan=0.0)
+        free = self.open + (0.0 if self.middle is None else OFF * np.abs(level - self.middle))
+        states = np.arange(len(self.factor))
+        stated = np.where(said[:, None] == states, 0.0, np.inf)
+        return level, np.where(said[:, None] < 0, free, stated) + TIE * states, table.column("_series").to_numpy()
+
+
+def _bounds(series: np.ndarray) -> np.ndarray:
+    return np.flatnonzero(np.concatenate([[True], series[1:] != series[:-1]]))
+
+
+def _transfer(model: _Model) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Of the first and the last series of a part, which others may share: least path costs, and the levels at both ends."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now: list = []  # series, paths, first level, last level
+        out: list[list] = []
+        part = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            table = pa.Table.from_batches([batch])
+            part = table.column("_part")[0].as_py()
+            level, cost, series = model(table)
+            starts = [*_bounds(series), len(series)]
+            if now and now[0] == series[0]:
+                now[1] = _through(now[1], now[3], level[: starts[1]], cost[: starts[1]])
+                now[3] = level[starts[1] - 1]
+                starts = starts[1:]
+            # The first series of the part, and the last one of the batch, which may go on.
+            for a, b in zip(starts, starts[1:]):
+                if not out and now:
+                    out.append(now)
+                if b < len(series) and (out or now):
+                    continue
+                now = [series[a], _through(None, None, level[a:b], cost[a:b]), level[a], level[b - 1]]
+        if now:
+            out.append(now)
+        if out:
+            yield pa.RecordBatch.from_pydict(
+                {
+                    "series": [int(o[0]) for o in out], "part": pa.array([part] * len(out), pa.int32()), "paths": [o[1].ravel().tolist() for o in out],
+                    "head": [o[2].tolist() for o in out], "tail": [o[3].tolist() for o in out],
+                }
+            )
 
     return run
 
 
-def _transfer(states: int):
-    """Per block: the least cost from each first to each last state, and the levels at both ends."""
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in _whole_blocks(batches):
-            level, cost, starts = _arrays(pdf, states)
-            ends = np.concatenate([starts[1:], [len(pdf)]])
-            out = []
-            for a, b in zip(starts, ends):
-                paths = np.where(np.eye(states, dtype=bool), cost[a][:, None], np.inf)
-                for r in range(a + 1, b):
-                    paths = (paths[:, :, None] + _moves(level[r - 1 : r], level[r : r + 1])).min(axis=1) + cost[r]
-                head = [pdf[c].iat[a] for c in ("series", "b1", "b2")]
-                out.append([*head, paths.ravel().tolist(), level[a].tolist(), level[b - 1].tolist()])
-            yield pd.DataFrame(out, columns=["series", "b1", "b2", "paths", "head", "tail"])
-
-    return run
-
-
-def _ends(states: int):
-    """The first and last state of each block of one series on its best path."""
-
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["b1", "b2"], ignore_index=True)
-        n = len(pdf)
-        paths = np.stack(pdf["paths"].to_numpy()).reshape(n, states, states)
-        head, tail = np.stack(pdf["head"].to_numpy()), np.stack(pdf["tail"].to_numpy())
-        entry = np.zeros((n, states), dtype=int)  # best first state by last state
-        back = np.zeros((n, states), dtype=int)  # best last state of the block before, by first state
-        into = np.zeros(states)
-        for i in range(n):
-            step = into[:, None] + paths[i]
-            entry[i], total = step.argmin(axis=0), step.min(axis=0)
-            if i + 1 < n:
-                move = total[:, None] + _moves(tail[i : i + 1], head[i + 1 : i + 2])[0]
-                back[i + 1], into = move.argmin(axis=0), move.min(axis=0)
-        first, last = np.zeros(n, dtype=int), np.zeros(n, dtype=int)
+def _ends(parts: Sequence[tuple], states: int) -> dict[tuple[int, int], tuple[int, int]]:
+    """(series, part): the first and the last state of each part on the best path of its series."""
+    by: dict[int, list] = {}
+    for series, part, paths, head, tail in parts:
+        by.setdefault(series, []).append((part, np.array(paths).reshape(states, states), np.array(head), np.array(tail)))
+    out = {}
+    for series, rows in by.items():
+        rows.sort(key=lambda r: r[0])
+        into, entry, back = np.zeros(states), [], []
+        for i, (_, paths, head, _) in enumerate(rows):
+            if i:
+                move = total[:, None] + _moves(rows[i - 1][3][None], head[None])[0]
+                into = move.min(axis=0)
+                back.append(move.argmin(axis=0))
+            step = into[:, None] + paths
+            entry.append(step.argmin(axis=0))
+            total = step.min(axis=0)
         s = int(total.argmin())
-        for i in range(n - 1, -1, -1):
-            last[i], first[i] = s, entry[i, s]
-            s = back[i, first[i]]
-        return pdf[["series", "b1", "b2"]].assign(first=first.astype("int32"), last=last.astype("int32"))
+        for i in range(len(rows) - 1, -1, -1):
+            out[series, rows[i][0]] = int(entry[i][s]), s
+            s = int(back[i - 1][entry[i][s]]) if i else s
+    return out
+
+
+def _decode(model: _Model, ends: Mapping[tuple[int, int], tuple[int, int]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    def decoded(table: pa.Table) -> Iterator[pa.RecordBatch]:
+        level, cost, series = model(table)
+        starts = _bounds(series)
+        part = table.column("_part")[0].as_py()
+        known = np.array([ends.get((int(series[a]), part), (-1, -1)) for a in starts])
+        state = viterbi(level, cost, starts, known[:, 0], known[:, 1])
+        rows = table.drop_columns(["_series", "_part", "_x", "_fx", "_said"])
+        yield from rows.append_column("_state", pa.array(state.astype(np.int32))).to_batches(max_chunksize=10_000)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            # What is held ends where a series ends; one that goes on is held longer.
+            last = _bounds(batch.column("_series").to_numpy())[-1]
+            if last or (held and held[-1].column("_series")[-1] != batch.column("_series")[0]):
+                yield from decoded(pa.Table.from_batches([*held, batch.slice(0, last)] if last else held))
+                held = []
+            held.append(batch.slice(last))
+        if held:
+            yield from decoded(pa.Table.from_batches(held))
 
     return run
 
 
 def decode_units(
     records: DataFrame, series: Sequence[str], at: str, id_col: str, amount: str, stated: str, rate: str, usual: str,
-    silent: Sequence[str], units: Mapping[str, tuple[str, bool]] = UNITS, block: int = 4096,
+    silent: Sequence[str], units: Mapping[str, tuple[str, bool]] = UNITS, parts: int | None = None,
 ) -> DataFrame:
-    """id_col, unit: the unit of every record's amount.
+    """records with a column unit: the unit of every record's amount.
 
     stated is a unit's name or null; rate is the price of a dollar, used by dollar units and null if unknown. A silent record
-    may be in the usual unit or one of `silent`. A series is ordered by `at` (null first) and then by id, a date of more than
-    `block` records by a hash of the id. Records without
-    a positive amount keep what they state, or get the usual unit. Ids are expected once each. records is read several
-    times, so it should be cheap to read.
+    may be in the usual unit or one of `silent`. A series is what all its columns say, null included, and is ordered by `at` (null
+    first) and then by id; the result does not depend on how it is parted (`parts`, default: as Spark chooses). Records without
+    a positive amount keep what they state, or get the usual unit. A unit that is not listed counts as not stated.
     """
-    names, states = list(units), len(units)
-    x = F.log(F.col(amount).cast("double"))
-    fx = F.log(F.col(rate).cast("double"))
-    factor = {n: float(np.log(float(f))) for n, (f, _) in units.items()}
-    level = {n: F.coalesce(x + F.lit(factor[n]) + (fx if units[n][1] else F.lit(0.0)), F.lit(0.0)) for n in names}
-    live = F.col(amount) > 0
-    levels = records.where(live).select(
-        F.xxhash64(*series).alias("series"), F.col(at).cast("date").alias("at"), F.col(id_col).alias("id"), F.col(stated).alias("said"),
-        *[level[n].alias(f"l{i}") for i, n in enumerate(names)],
-    )
-    known = F.coalesce(*[F.when(F.col("said") == n, F.col(f"l{i}")) for i, n in enumerate(names)])
-    middle = levels.select(F.percentile_approx(known, 0.5)).first()[0]
-    inf = F.lit(float("inf"))
-
-    def price(i: int, name: str) -> Column:
-        off = F.lit(0.0) if middle is None else OFF * F.abs(F.col(f"l{i}") - F.lit(middle))
-        free = off + (0.0 if name == usual else UNUSUAL) if name == usual or name in silent else inf
-        return F.when(F.col("said") == name, 0.0).when(F.col("said").isNotNull(), inf).otherwise(free)
-
-    chain = levels.select("series", "at", "id", *[f"l{i}" for i in range(states)], *[price(i, n).alias(f"c{i}") for i, n in enumerate(names)])
-    order = ["series", "b1", "b2", "at", "id"]
-
-    def blocks(df: DataFrame) -> DataFrame:
-        return df.repartition("series", "b1", "b2").sortWithinPartitions(*order)
-
-    if levels.groupBy("series").count().where(F.col("count") > block).limit(1).count():
-        placed = _placed(chain, block)
-        transfer = blocks(placed.where("long")).mapInPandas(
-            _transfer(states), "series long, b1 long, b2 long, paths array<double>, head array<double>, tail array<double>"
-        )
-        ends = transfer.groupBy("series").applyInPandas(_ends(states), "series long, b1 long, b2 long, first int, last int")
-        ready = placed.join(ends, ["series", "b1", "b2"], "left")
-    else:
-        # No series is longer than a block: each is one.
-        none, zero = F.lit(None).cast("int"), F.lit(0).cast("long")
-        ready = chain.withColumns({"b1": zero, "b2": zero, "first": none, "last": none})
-    id_type = dict(records.dtypes)[id_col]
-    decoded = blocks(ready).mapInPandas(_decode(states), f"id {id_type}, state int")
-    unit = F.element_at(F.array(*[F.lit(n) for n in names]), F.col("state") + 1)
-    rest = records.where(~F.coalesce(live, F.lit(False))).select(F.col(id_col), F.coalesce(F.col(stated), F.lit(usual)).alias("unit"))
-    return decoded.select(F.col("id").alias(id_col), unit.alias("unit")).unionByName(rest)
-
-
-def _placed(chain: DataFrame, block: int) -> DataFrame:
-    """chain with its blocks: whole dates of a series, about `block` records each; a date with more is dealt by a hash of the id."""
-    dates = chain.groupBy("series", "at").agg(F.count(F.lit(1)).alias("n"))
-    over = W.partitionBy("series").orderBy("at")
-    dates = dates.select(
-        F.col("series").alias("_s"), F.col("at").alias("_at"), "n", F.floor((F.sum("n").over(over) - F.col("n")) / block).cast("long").alias("b1"),
-        (F.sum("n").over(W.partitionBy("series")) > block).alias("long"),
-    )
-    deal = F.pmod(F.xxhash64("id"), F.ceil(F.col("n") / block).cast("long"))
-    joined = chain.join(dates, (F.col("series") == F.col("_s")) & F.col("at").eqNullSafe(F.col("_at")))
-    return joined.select(
-        *chain.columns, F.when(F.col("long"), F.col("b1")).otherwise(0).alias("b1"),
-        F.when(F.col("n") > block, deal).otherwise(-1).cast("long").alias("b2"), "long",
-    )
+    names = list(units)
+    amount_, live = F.col(amount).cast("double"), F.coalesce(F.col(amount) > 0, F.lit(False))
+    place = F.array_position(F.array(*[F.lit(n) for n in names]), F.col(stated)) - 1
+    factor = F.element_at(F.array(*[F.lit(float(np.log(float(f)))) for f, _ in units.values()]), (place + 1).cast("int"))
+    fx = F.when(F.array(*[F.lit(d) for _, d in units.values()])[place.cast("int")], F.log(F.col(rate).cast("double"))).otherwise(0.0)
+    middle = records.where(live & (place >= 0)).select(F.percentile_approx(F.coalesce(F.log(amount_) + factor + fx, F.lit(0.0)), 0.5)).first()[0]
+    model = _Model(units, usual, silent, middle)
+    key = F.xxhash64(*[x for c in series for x in (F.col(c).isNull(), F.col(c))])
+    chain = records.where(live).select(
+        "*", key.alias("_series"), F.log(amount_).alias("_x"), F.log(F.col(rate).cast("double")).alias("_fx"), F.coalesce(place, F.lit(-1)).cast("int").alias("_said")
+    )
+    order = ["_series", F.col(at).cast("date"), F.col(id_col)]
+    ranged = chain.repartitionByRange(parts, *order) if parts else chain.repartitionByRange(*order)
+    # Written once: both passes must see the same parts.
+    placed = cut(ranged.sortWithinPartitions(*order).withColumn("_part", F.spark_partition_id()))
+    transfers = placed.mapInArrow(_transfer(model), "series long, part int, paths array<double>, head array<double>, tail array<double>")
+    # At most two rows a part.
+    ends = _ends([tuple(r) for r in transfers.collect()], len(names))
+    schema = ", ".join(f"`{c}` {t}" for c, t in records.dtypes)
+    decoded = placed.mapInArrow(_decode(model, ends), f"{schema}, _state int")
+    unit = F.element_at(F.array(*[F.lit(n) for n in names]), F.col("_state") + 1)
+    rest = records.where(~live).withColumn("unit", F.when(place >= 0, F.col(stated)).otherwise(F.lit(usual)))
+    return decoded.withColumn("unit", unit).drop("_state").unionByName(rest)
 
 
 def unit_named(text: Column) -> Column:
@@ -264,9 +283,11 @@ def rate_of_day(records: DataFrame, rates: DataFrame, day: str, fecha: str = "fe
     one = rates.where(F.col(fecha).isNotNull() & F.col(valor).isNotNull()).groupBy(F.col(fecha).cast("date").alias("_from")).agg(F.max(valor).alias("_rate"))
     spans = one.withColumn("_next", F.lead("_from").over(W.orderBy("_from")))
     daily = spans.where("_next is not null").select(F.explode(F.sequence("_from", F.date_sub("_next", 1))).alias("_day"), "_rate")
-    last = spans.where("_next is null").select(F.col("_from").alias("_last"), F.col("_rate").alias("_last_rate"))
-    out = records.withColumn("_day", F.col(day).cast("date")).join(daily, "_day", "left").join(last, F.col("_day") >= F.col("_last"), "left")
-    return out.withColumn(name, F.coalesce("_rate", "_last_rate")).drop("_day", "_rate", "_last", "_last_rate")
+    last = one.agg(F.max_by(F.struct("*"), "_from")).first()[0]
+    out = records.withColumn("_day", F.col(day).cast("date")).join(daily, "_day", "left")
+    if last:
+        out = out.withColumn("_rate", F.when(F.col("_day") >= F.lit(last["_from"]), F.lit(last["_rate"])).otherwise(F.col("_rate")))
+    return out.withColumn(name, F.col("_rate")).drop("_day", "_rate")
 
 
 def guide_amounts(guide: DataFrame, rates: DataFrame) -> DataFrame:
@@ -283,8 +304,8 @@ def guide_amounts(guide: DataFrame, rates: DataFrame) -> DataFrame:
         F.coalesce(unit_named(F.col("unidad_original")), unit_named(behind)).alias("said"),
     )
     rows = cut(rate_of_day(rows, rates, "periodo"))
-    unit = decode_units(rows, ["marca", "modelo", "version", "anio"], "periodo", "registro_id", "amount", "said", "rate", "miles", ["pesos", "millones"])
-    return rows.join(unit, "registro_id").select("registro_id", "unit", in_pesos(F.col("amount"), F.col("unit"), F.col("rate")).alias("pesos"))
+    told = decode_units(rows, ["marca", "modelo", "version", "anio"], "periodo", "registro_id", "amount", "said", "rate", "miles", ["pesos", "millones"])
+    return told.select("registro_id", "unit", in_pesos(F.col("amount"), F.col("unit"), F.col("rate")).alias("pesos"))
 
 
 def service_amounts(service: DataFrame, rates: DataFrame) -> DataFrame:
@@ -304,7 +325,7 @@ def service_amounts(service: DataFrame, rates: DataFrame) -> DataFrame:
         F.coalesce(given, written).alias("amount"), given.isNull().alias("only_text"), said.alias("said"),
     ).where("amount is not null")
     rows = cut(rate_of_day(rows, rates, "capturado"))
-    unit = decode_units(rows, ["marca", "modelo", "km"], "capturado", "registro_id", "amount", "said", "rate", "pesos", ["miles", "millones", "centavos"])
-    return rows.join(unit, "registro_id").select(
+    told = decode_units(rows, ["marca", "modelo", "km"], "capturado", "registro_id", "amount", "said", "rate", "pesos", ["miles", "millones", "centavos"])
+    return told.select(
         "registro_id", "unit", "only_text", in_pesos(F.col("amount"), F.col("unit"), F.col("rate")).alias("pesos")
     )

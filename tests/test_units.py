@@ -37,28 +37,45 @@ def records(spark, crowded):
     return df, {r[0]: r[6] for r in rows}
 
 
-def decode(df, block):
-    out = units.decode_units(df, ["s"], "at", "id", "amount", "said", "rate", "miles", ["pesos", "millones"], block=block)
-    return dict(tuple(r) for r in out.collect())
+def decode(df, parts=None):
+    out = units.decode_units(df, ["s"], "at", "id", "amount", "said", "rate", "miles", ["pesos", "millones"], parts=parts)
+    assert set(out.columns) == {*df.columns, "unit"}
+    return {r.id: r.unit for r in out.collect()}
 
 
-def test_blocks_give_the_path_of_the_whole(spark):
-    df, truth = records(spark, crowded=False)
-    whole = decode(df, 4096)
-    assert whole == truth
-    assert decode(df, 10) == whole == decode(df, 3)
+def test_parts_give_the_path_of_the_whole(spark):
+    for crowded in (False, True):
+        df, truth = records(spark, crowded)
+        assert decode(df) == decode(df, 1) == decode(df, 2) == decode(df, 9) == truth
 
 
-def test_dates_larger_than_a_block(spark):
-    df, truth = records(spark, crowded=True)
-    assert decode(df, 10) == truth
+def test_parts_of_overlapping_levels_on_one_date(spark):
+    """Levels so close that the order within the date decides, many equal amounts, and ids of any spread."""
+    rng = random.Random(7)
+    rows = []
+    for i in range(400):
+        f = rng.choice([1e3, 1.0])
+        rows.append((i * i * 37 % 100_003, "ab"[i % 40 == 0], datetime(2024, 1, 1), round(2e4 * math.exp(rng.choice([0, 0, 1, 2, 3, 4])) / f, 3), rng.choice([None, None, None, "miles", "pesos"]), None))
+    df = spark.createDataFrame(rows, "id long, s string, at timestamp, amount double, said string, rate double")
+    whole = decode(df, 1)
+    assert {"miles", "pesos"} <= set(whole.values())
+    assert whole == decode(df, 3) == decode(df, 10) == decode(df, 60)
+
+
+def test_null_parts_of_a_series_are_values(spark):
+    rows = [(i, s, t, datetime(2024, 1, 1 + i), 20.0 if s else 20000.0, None, None) for i, (s, t) in enumerate([("a", None), (None, "a")] * 6)]
+    df = spark.createDataFrame(rows, "id long, s string, t string, at timestamp, amount double, said string, rate double")
+    keys = df.select(F.xxhash64(*[x for c in ("s", "t") for x in (F.col(c).isNull(), F.col(c))])).distinct().count()
+    assert keys == 2
+    out = units.decode_units(df, ["s", "t"], "at", "id", "amount", "said", "rate", "miles", ["pesos"])
+    assert out.count() == 12
 
 
 def test_no_amount_and_empty(spark):
     schema = "id long, s string, at date, amount double, said string, rate double"
     df = spark.createDataFrame([(1, "a", None, None, "usd", None), (2, "a", None, 0.0, None, None), (3, None, None, 20000.0, None, None)], schema)
-    assert decode(df, 10) == {1: "usd", 2: "miles", 3: "miles"}
-    assert decode(spark.createDataFrame([], schema), 10) == {}
+    assert decode(df, 3) == decode(df) == {1: "usd", 2: "miles", 3: "miles"}
+    assert decode(spark.createDataFrame([], schema)) == {}
 
 
 def test_units_and_amounts_in_texts(spark):
