@@ -41,26 +41,23 @@ def parts_of(text: Column) -> Column:
 
 
 def grams(bare: Column, q: int = 2) -> Column:
-    """The runs of q neighbouring letters, with the ends marked and a run's repetitions numbered; none of a text shorter than q - 2."""
+    """The runs of q neighbouring letters, with the ends marked and a run's repetitions numbered, in no order; none of a text shorter than q - 2."""
     padded = F.concat(F.lit("^"), bare, F.lit("$"))
     starts = F.when(F.length(padded) >= q, F.sequence(F.lit(1), F.length(padded) - (q - 1)))
-    runs = F.transform(starts, lambda i: F.substring(padded, i, F.lit(q)))
-
-    def numbered(run: Column, i: Column) -> Column:
-        before = F.size(F.filter(F.slice(runs, F.lit(1), i), lambda x: x == run))
-        return F.when(before > 0, F.concat(run, before.cast("string"))).otherwise(run)
-
-    return F.transform(runs, numbered)
+    runs = F.array_sort(F.transform(starts, lambda i: F.substring(padded, i, F.lit(q))))
+    # In sorted order a run's repetitions follow its first place. The runs are bound by a lambda, to be made once and not per element.
+    number = lambda r: F.transform(r, lambda x, i: F.concat(x, (i + 1 - F.array_position(r, x)).cast("string")))
+    return F.transform(F.array(runs), number)[0]
 
 
 def set_join(left: DataFrame, right: DataFrame, threshold: float, hot: int = 20_000) -> DataFrame:
     """l, r, jaccard: all pairs of rows whose sets are at least `threshold` similar.
 
-    Both sides have columns key and members (an array of distinct strings). Rarity is counted over both sides. Rare members that still
-    stand in more than `hot` prefixes are split. Null and empty sets match nothing; keys are expected once each.
+    Both sides have columns key and members (an array of distinct strings). Members are told apart by 64 bits of hash. Rarity is counted over
+    both sides. Rare members that still stand in more than `hot` prefixes are split. Null and empty sets match nothing; keys are expected once each.
     """
-    sides = {"l": left, "r": right}
-    exploded = {s: df.select("key", F.explode("members").alias("m")) for s, df in sides.items()}
+    hashed = lambda df: df.select("key", F.explode("members").alias("_m")).select("key", F.xxhash64("_m").alias("m"))
+    exploded = {"l": hashed(left), "r": hashed(right)}
     rarity = exploded["l"].unionByName(exploded["r"]).groupBy("m").agg(F.count(F.lit(1)).alias("n"))
 
     def prefixes(side: str) -> DataFrame:
@@ -71,8 +68,7 @@ def set_join(left: DataFrame, right: DataFrame, threshold: float, hot: int = 20_
         )
         size = F.size(f"{side}_set")
         keep = (size - F.ceil(F.lit(threshold) * size - F.lit(1e-9)) + 1).cast("int")
-        ordered = ordered.withColumn(f"{side}_prefix", F.slice(f"{side}_set", F.lit(1), keep))
-        return ordered.select("*", F.posexplode(f"{side}_prefix").alias(f"{side}_pos", "m"))
+        return ordered.select("*", F.posexplode(F.slice(f"{side}_set", F.lit(1), keep)).alias(f"{side}_pos", "m"))
 
     # Written once: the join counts the left prefixes before it deals them.
     met = salted_join(cut(prefixes("l")), cut(prefixes("r")), ["m"], hot=hot, spread=["l"])
@@ -80,10 +76,10 @@ def set_join(left: DataFrame, right: DataFrame, threshold: float, hot: int = 20_
     need = F.ceil(F.lit(threshold / (1 + threshold)) * (a + b) - F.lit(1e-9))
     lengths = (a >= b * threshold - 1e-9) & (b >= a * threshold - 1e-9)
     positions = 1 + F.least(a - F.col("l_pos") - 1, b - F.col("r_pos") - 1) >= need
-    first = F.element_at(F.array_intersect("l_prefix", "r_prefix"), 1) == F.col("m")
-    common = F.size(F.array_intersect("l_set", "r_set"))
     # Pairs meet once per common prefix member; the first one stands for all. Its position bounds the overlap.
-    out = met.where(lengths & positions & first).withColumn("jaccard", common / (a + b - common))
+    before = lambda s: F.slice(f"{s}_set", F.lit(1), F.col(f"{s}_pos"))
+    common = F.size(F.array_intersect("l_set", "r_set"))
+    out = met.where(lengths & positions & ~F.arrays_overlap(before("l"), before("r"))).withColumn("jaccard", common / (a + b - common))
     return out.where(F.col("jaccard") >= threshold - 1e-9).select("l", "r", "jaccard")
 
 
@@ -98,7 +94,8 @@ def closest(values: DataFrame, reference: DataFrame, threshold: float = 0.25) ->
     """
     left = cut(values.select("bare").where("bare <> ''").distinct())
     right = cut(reference.select("bare", "entry").where("bare <> ''").groupBy("bare").agg(F.min("entry").alias("entry")))
-    sets = lambda df: df.select(F.col("bare").alias("key"), grams(F.col("bare")).alias("members"))
+    # Written once: members are counted first and ordered then.
+    sets = lambda df: cut(df.select(F.col("bare").alias("key"), grams(F.col("bare")).alias("members")))
     length = F.greatest(F.length("l"), F.length("r"))
     near = set_join(sets(left), sets(right), threshold).withColumn("edits", F.levenshtein("l", "r")).where(
         (F.col("edits") <= F.greatest(F.lit(2), F.floor(length * 3 / 10).cast("int"))) & (F.col("edits") * 2 <= length)
