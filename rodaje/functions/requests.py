@@ -10,8 +10,6 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rodaje.functions.similarity import _restricted_damerau
-
 #: Words that set a parameter (fixed values).
 WORDS = {
     "combustible": {"diesel": "diesel", "gasoil": "diesel", "naftero": "nafta", "nafta": "nafta", "hibrido": "hibrido", "electrico": "electrico"},
@@ -69,11 +67,23 @@ def _near(take, rest: str, name: str) -> bool:
     if len(name) < 5 or " " in name:
         return False
     for word in re.findall(r"[a-z0-9]{4,}", rest):
-        if abs(len(word) - len(name)) <= 1 and _restricted_damerau(word, name) == 1:
+        if _one_off(word, name):
             return take(rf"\b{word}\b") is not None
     return False
 
 
+def _one_off(a: str, b: str) -> bool:
+    """One letter added, dropped or changed, or two neighbours swapped."""
+    if len(a) > len(b):
+        a, b = b, a
+    if len(b) - len(a) > 1 or a == b:
+        return False
+    i = next((k for k, (x, y) in enumerate(zip(a, b)) if x != y), len(a))
+    if len(a) < len(b):
+        return a[i:] == b[i + 1 :]
+    return a[i + 1 :] == b[i + 1 :] or (a[i : i + 2] == b[i : i + 2][::-1] and a[i + 2 :] == b[i + 2 :])
+
+
 def with_request(df: DataFrame, text: str, models: Sequence[str] = (), places: Sequence[str] = ()) -> DataFrame:
     """df with a struct `pedido` of what its text asks for. models and places are short lists sent to the workers."""
     models, places = list(models), list(places)

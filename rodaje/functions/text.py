@@ -11,8 +11,17 @@ from pyspark.sql import functions as F
 ACCENTED = "áàâãäåéèêëíìîïóòôõöúùûüýñçÁÀÂÃÄÅÉÈÊËÍÌÎÏÓÒÔÕÖÚÙÛÜÝÑÇ"
 BASES = "aaaaaaeeeeiiiiooooouuuuyncAAAAAAEEEEIIIIOOOOOUUUUYNC"
 
-#: Words that name no model (fixed values).
-NOISE = ["NUEVO", "NUEVA", "LINEA"]
+#: Words of bodies and the like that some sources write and others do not (fixed values).
+NOISE = [
+    "SEDAN", "PUERTAS", "PUERTA", "PTAS", "RURAL", "FURGON", "FURGONETA", "PICK", "PICKUP", "CABINA", "TODO", "TERRENO", "COUPE", "HATCHBACK",
+    "NUEVO", "NUEVA",
+]
+
+#: How `norm` rewrites a text in capitals without accents, in this order; both engines read these patterns alike.
+NORMAL_FORMS: list[tuple[str, str]] = [
+    (r"\bPICK *-? *UP\b", " "), (r"\+", " PLUS "), (r" +- +", " "), (r"(\d)[.,](\d) *L\b", r"\1,\2"), (r"(\d)\.(\d)", r"\1,\2"),
+    (r"([A-Z])-(\d)", r"\1\2"), (r"(\d)-([A-Z])", r"\1\2"), (r"\b([A-Z]{1,3}) (\d{1,3})([^0-9A-Z_,]|$)", r"\1\2\3"), (r"[^A-Z0-9, /]", " "),
+]
 
 
 def strip_accents(c: Column) -> Column:
@@ -30,25 +39,40 @@ def slug(*cols: Column) -> Column:
 
 
 def norm(c: Column) -> Column:
-    """One spelling for model names: PLUS for +, decimal commas, digits glued to the letters they belong to, no noise words."""
-    t = F.upper(strip_accents(c))
-    t = F.regexp_replace(t, r"\bPICK[ -]?UP\b", " ")
-    t = F.regexp_replace(t, r"\+", " PLUS ")
-    t = F.regexp_replace(t, r"(\d)[.,](\d)(?:\s*L\b)?", "$1,$2")
-    t = F.regexp_replace(t, r"[^A-Z0-9,]+", " ")
-    t = F.regexp_replace(t, r"\b([A-Z]{1,2}) (\d{1,3})(?![\d,])\b", "$1$2")
-    words = F.filter(F.split(F.trim(t), r"\s+"), lambda w: (w != "") & ~w.isin(NOISE))
-    return F.array_join(words, " ")
+    """One spelling for model names: PLUS for +, decimal commas, digits glued to the short codes they belong to, no words of bodies. '' for null."""
+    t = F.upper(strip_accents(F.coalesce(c, F.lit(""))))
+    for pattern, to in NORMAL_FORMS:
+        t = F.regexp_replace(t, pattern, to.replace("\\", "$"))
+    return F.array_join(F.filter(F.split(F.trim(t), " +"), lambda w: (w != "") & ~w.isin(NOISE)), " ")
+
+
+def norm_sql(c: str) -> str:
+    """The same in SQL."""
+    t = f"upper(strip_accents(coalesce({c}, '')))"
+    for pattern, to in NORMAL_FORMS:
+        t = f"regexp_replace({t}, '{pattern}', '{to}', 'g')"
+    return f"array_to_string(list_filter(string_split(trim({t}), ' '), lambda w: w <> '' AND NOT list_contains({NOISE}, w)), ' ')"
+
+
+def words_of(c: Column) -> Column:
+    """The words of a normal form; none of an empty one."""
+    return F.filter(F.split(c, " "), lambda w: w != "")
 
 
 def brand_key(c: Column) -> Column:
-    return F.regexp_replace(norm(c), "[^A-Z0-9]", "")
+    return F.replace(norm(c), F.lit(" "), F.lit(""))
 
 
 def strip_brand(description: Column, brand: Column) -> Column:
-    """The normal form of a description without the brand in front."""
+    """The normal form of a description without the brand in front, word by word."""
     d, b = norm(description), norm(brand)
-    return F.when(F.startswith(d, F.concat(b, F.lit(" "))), F.substring(d, F.length(b) + 2, F.length(d))).otherwise(d)
+    led = (b != "") & ((d == b) | F.startswith(d, F.concat(b, F.lit(" "))))
+    return F.when(led, F.substring(d, F.length(b) + 2, F.length(d))).otherwise(d)
+
+
+def strip_brand_sql(description: str, brand: str) -> str:
+    d, b = norm_sql(description), norm_sql(brand)
+    return f"(SELECT CASE WHEN y <> '' AND (x = y OR starts_with(x, y || ' ')) THEN substring(x, length(y) + 2) ELSE x END FROM (SELECT {d} AS x, {b} AS y))"
 
 
 def token_set(c: Column, drop: Column | None = None, synonyms: Mapping[str, str] | None = None) -> Column:

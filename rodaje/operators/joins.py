@@ -5,26 +5,28 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from rodaje.operators.windows import forward_fill
 
-def asof_join(left: DataFrame, right: DataFrame, keys: Sequence[str], left_at: str, right_at: str, take: Sequence[str]) -> DataFrame:
+
+def asof_join(
+    left: DataFrame, right: DataFrame, keys: Sequence[str], left_at: str, right_at: str, take: Sequence[str], hot: int = 1_000_000
+) -> DataFrame:
     """left with, per row, the columns `take` of the last right row of its keys not after left_at; null if there is none.
 
-    Both sides are put into one sequence per key and the last right row is carried forward, one sort instead of a range join.
-    Of several right rows of one key and instant the greatest `take` counts. Null keys and instants match nothing; every
-    left row is kept once.
+    Both sides are put into one sequence per key and the last right row is carried forward, one sort instead of a range join;
+    a key with more than `hot` rows is spread over tasks (`forward_fill`). Of several right rows of one key and instant the greatest
+    `take` counts. Null keys and instants match nothing; every left row is kept once.
     """
     packed = right.where(F.col(right_at).isNotNull()).groupBy(*keys, F.col(right_at).alias("_at")).agg(F.max(F.struct(*take)).alias("_r"))
     rows = left.select(*keys, F.col(left_at).alias("_at"), F.lit(1).alias("_side"), F.struct(*left.columns).alias("_l"))
     marks = packed.select(*keys, "_at", F.lit(0).alias("_side"), "_r")
     both = rows.unionByName(marks, allowMissingColumns=True)
-    order = W.partitionBy(*keys).orderBy(F.col("_at").asc_nulls_first(), "_side").rowsBetween(W.unboundedPreceding, W.currentRow)
     some = F.col("_at").isNotNull()
     for k in keys:
         some = some & F.col(k).isNotNull()
-    carried = both.withColumn("_seen", F.last("_r", ignorenulls=True).over(order)).where("_side = 1")
+    carried = forward_fill(both, keys, [F.col("_at").asc_nulls_first(), F.col("_side")], "_r", "_seen", hot).where("_side = 1")
     return carried.select(
         *[F.col("_l")[c].alias(c) for c in left.columns], *[F.when(some, F.col("_seen")[c]).alias(c) for c in take]
     )
@@ -51,52 +53,6 @@ def nearest(value: Column, centres: Sequence[float], tolerance: float) -> Column
     return F.when(best["d"] <= tolerance, best["c"])
 
 
-def prefix_match(left: DataFrame, catalogue: DataFrame, key: str, words: str, name: str, name_words: str) -> DataFrame:
-    """left with `name`: the longest catalogue name of the same key whose words begin the row's words; null if none does.
-
-    A catalogue word with a digit may also stand at the start of the row's word. Prefixes of the row are hashed: names whose
-    words all lack digits meet them by equality, the others by their digitless words and are then tested word by word. Of
-    several names as long, the shortest in letters and then the least is taken.
-    """
-    rows = left.withColumn("_row", F.monotonically_increasing_id())
-    names = catalogue.select(F.col(key).alias("_k"), F.col(name).alias("_name"), F.col(name_words).alias("_words")).where(F.size("_words") > 0)
-    met = rows.join(
-        names,
-        (F.col(key) == F.col("_k")) & (F.size("_words") <= F.size(words))
-        & F.forall(
-            F.zip_with(F.slice(F.col(words), F.lit(1), F.size("_words")), F.col("_words"), lambda a, b: (a == b) | (b.rlike(r"\d") & F.startswith(a, b))),
-            lambda ok: ok,
-        ),
-    )
-    best = met.groupBy("_row").agg(F.min(F.struct((-F.size("_words")).alias("w"), F.length("_name").alias("n"), F.col("_name"))).alias("_b"))
-    return rows.join(best, "_row", "left").select(*left.columns, F.col("_b._name").alias(name))
-
-
-def ngram_match(texts: DataFrame, names: DataFrame, id_col: str, words: str, name: str, name_words: str, longest: int = 6) -> DataFrame:
-    """id_col, start, length, name: names whose words stand side by side in the text; those inside a longer hit are dropped.
-
-    The runs of up to `longest` words of each text meet the names by equality.
-    """
-    n = F.size(words)
-    runs = F.flatten(F.transform(F.sequence(F.lit(1), n), lambda i: F.transform(
-        F.sequence(F.lit(1), F.least(F.lit(longest), n - i + 1)),
-        lambda k: F.struct(i.alias("start"), k.alias("length"), F.array_join(F.slice(words, i, k), " ").alias("run")),
-    )))
-    spread = texts.where(n > 0).select(id_col, F.explode(runs).alias("r")).select(id_col, "r.*")
-    wanted = names.select(F.array_join(name_words, " ").alias("run"), F.col(name).alias("name")).distinct()
-    hits = spread.join(wanted, "run").select(id_col, "start", "length", "name")
-    # Per text: the hits, few, with those covered by a longer one removed.
-    own = W.partitionBy(id_col)
-    all_ = F.collect_list(F.struct("start", "length")).over(own)
-    covered = F.exists(all_, lambda h: (h["start"] <= F.col("start")) & (h["start"] + h["length"] >= F.col("start") + F.col("length")) & (h["length"] > F.col("length")))
-    return hits.withColumn("_covered", covered).where("not _covered").drop("_covered")
-
-
-def subset_match(left: DataFrame, right: DataFrame, keys: Sequence[str], left_words: str, right_words: str) -> DataFrame:
-    """Pairs of equal keys where every word of the left set is in the right one."""
-    return left.join(right, list(keys)).where(F.size(F.array_except(left_words, right_words)) == 0)
-
-
 def override_join(base: DataFrame, overrides: DataFrame, keys: Sequence[str], column: str) -> DataFrame:
     """base with `column` replaced where an override of its keys is given and not null."""
     o = overrides.select(*keys, F.col(column).alias("_o"))

@@ -45,9 +45,8 @@ def c2_filtered_aggs(spark: SparkSession, d: str) -> DataFrame:
 @BOOK.add("""
     SELECT l_returnflag, median(l_extendedprice) AS mediana, round(quantile_cont(l_extendedprice, 0.9) * 100) / 100 AS p90 FROM lineitem GROUP BY 1""")
 def c3_medians_quantiles(spark: SparkSession, d: str) -> DataFrame:
-    return table(spark, d, "lineitem").groupBy("l_returnflag").agg(
-        F.median("l_extendedprice").alias("mediana"), scaled_round(F.percentile("l_extendedprice", 0.9), 2).alias("p90")
-    )
+    found = windows.exact_percentiles(table(spark, d, "lineitem"), ["l_returnflag"], "l_extendedprice", {"mediana": 0.5, "p90": 0.9})
+    return found.select("l_returnflag", "mediana", scaled_round(F.col("p90"), 2).alias("p90"))
 
 
 @BOOK.add("""
@@ -117,10 +116,10 @@ def c10_price_index_by_brand(spark: SparkSession, d: str) -> DataFrame:
     b = table(spark, d, "lineitem").join(table(spark, d, "part"), F.col("l_partkey") == F.col("p_partkey")).select(
         "p_brand", "p_type", "l_partkey", (F.col("l_extendedprice") / F.col("l_quantity")).alias("precio")
     )
-    t = b.groupBy("p_type").agg(F.median("precio").alias("tipico"), rows_counted().alias("n")).where("n >= 3").drop("n")
-    return b.join(t, "p_type").groupBy("p_brand").agg(
-        scaled_round(F.median(F.col("precio") / F.col("tipico")), 6).alias("indice"), F.count_distinct("l_partkey").alias("piezas")
-    ).where("piezas >= 15")
+    t = windows.exact_percentiles(b, ["p_type"], "precio", {"tipico": 0.5}).where("n >= 3").drop("n")
+    relative = b.join(t, "p_type").select("p_brand", "l_partkey", (F.col("precio") / F.col("tipico")).alias("razon"))
+    index = windows.exact_percentiles(relative, ["p_brand"], "razon", {"indice": 0.5}).select("p_brand", scaled_round(F.col("indice"), 6).alias("indice"))
+    return relative.groupBy("p_brand").agg(F.count_distinct("l_partkey").alias("piezas")).where("piezas >= 15").join(index, "p_brand")
 
 
 @BOOK.add("""
@@ -163,10 +162,11 @@ def d2_outlier_trimmed_median(spark: SparkSession, d: str) -> DataFrame:
     b = table(spark, d, "lineitem").join(table(spark, d, "part"), F.col("l_partkey") == F.col("p_partkey")).select(
         month("l_shipdate").alias("mes"), F.col("p_brand").alias("marca"), F.col("l_extendedprice").alias("precio"), F.col("l_quantity").alias("volumen"), "l_suppkey"
     )
-    return windows.trimmed_by_median(b, ["mes", "marca"], "precio").groupBy("mes", "marca").agg(
-        rows_counted().alias("n"), F.count_distinct("l_suppkey").alias("bocas"), F.median("precio").alias("mediana"),
-        weighted_mean(F.col("precio"), F.col("volumen")).alias("ponderado"),
-    )
+    kept = windows.trimmed_by_median(b, ["mes", "marca"], "precio")
+    medians = windows.exact_percentiles(kept, ["mes", "marca"], "precio", {"mediana": 0.5}).drop("n")
+    return kept.groupBy("mes", "marca").agg(
+        rows_counted().alias("n"), F.count_distinct("l_suppkey").alias("bocas"), weighted_mean(F.col("precio"), F.col("volumen")).alias("ponderado")
+    ).join(medians, ["mes", "marca"])
 
 
 @BOOK.add("SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, count(DISTINCT l_suppkey) OVER (PARTITION BY l_partkey) AS proveedores FROM lineitem")
@@ -181,9 +181,10 @@ def d3_distinct_over(spark: SparkSession, d: str) -> DataFrame:
     SELECT marca, anio, round(exp(sum(ln(salto)) OVER w) * 1e6) / 1e6 AS indice, count(*) OVER w = anio - min(anio) OVER (PARTITION BY marca) + 1 AS completo,
            min(n) OVER w AS respaldo FROM j WHERE salto > 0 WINDOW w AS (PARTITION BY marca ORDER BY anio ROWS UNBOUNDED PRECEDING)""")
 def d4_chained_index(spark: SparkSession, d: str) -> DataFrame:
-    m = table(spark, d, "lineitem").join(table(spark, d, "part"), F.col("l_partkey") == F.col("p_partkey")).groupBy(
-        F.col("p_brand").alias("marca"), F.year("l_shipdate").cast("long").alias("anio")
-    ).agg(F.median("l_extendedprice").alias("med"), rows_counted().alias("n"))
+    rows = table(spark, d, "lineitem").join(table(spark, d, "part"), F.col("l_partkey") == F.col("p_partkey")).select(
+        F.col("p_brand").alias("marca"), F.year("l_shipdate").cast("long").alias("anio"), "l_extendedprice"
+    )
+    m = windows.exact_percentiles(rows, ["marca", "anio"], "l_extendedprice", {"med": 0.5})
     before = m.select("marca", (F.col("anio") + 1).alias("anio"), F.col("med").alias("med0"))
     jumps = m.join(before, ["marca", "anio"]).where("med0 > 0").select("marca", "anio", (F.col("med") / F.col("med0")).alias("salto"), "n")
     out = windows.chained_index(jumps, ["marca"], "anio", "salto", "n")
@@ -250,7 +251,7 @@ def e1_topk(spark: SparkSession, d: str) -> DataFrame:
     SELECT c_custkey, saldo, row_number() OVER (ORDER BY saldo DESC NULLS LAST, c_custkey) AS puesto FROM (SELECT c_custkey, CASE WHEN c_acctbal > 5000 THEN c_acctbal END AS saldo FROM customer WHERE c_nationkey = 7)""")
 def e2_nulls_last(spark: SparkSession, d: str) -> DataFrame:
     rows = table(spark, d, "customer").where("c_nationkey = 7").select("c_custkey", F.when(F.col("c_acctbal") > 5000, F.col("c_acctbal")).alias("saldo"))
-    return rows.withColumn("puesto", F.row_number().over(W.orderBy(F.desc_nulls_last("saldo"), "c_custkey")))
+    return windows.global_rank(rows, [F.desc_nulls_last("saldo"), F.asc("c_custkey")], "puesto")
 
 
 @BOOK.add("""

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from rodaje.functions.numeric import exact_sum, percent, safe_ratio, scaled_round, weighted_mean
 from rodaje.functions.similarity import jaro_winkler
 from rodaje.operators import windows
+from rodaje.operators.geo import current_stations
 from rodaje.operators.units import rate_of_day
 from rodaje.plans.book import Book
 from rodaje.sources import table
@@ -49,15 +50,18 @@ def m1_fuel_staging(spark: SparkSession, d: str) -> DataFrame:
 def m2_fuel_monthly(spark: SparkSession, d: str) -> DataFrame:
     base = fuel_declarations(spark, d).where("canal_de_comercializacion = 'Al público' and not exentos and not repetida and precio_surtidor > 0")
     kept = windows.trimmed_by_median(base, ["periodo", "provincia_id", "producto"], "precio_surtidor")
-    return kept.groupBy("periodo", "provincia_id", "producto", "bandera").agg(
-        F.count(F.lit(1)).alias("n"), F.count_distinct("nro_inscripcion").alias("bocas"), F.median("precio_surtidor").alias("mediana"),
+    group = ["periodo", "provincia_id", "producto", "bandera"]
+    medians = windows.exact_percentiles(kept, group, "precio_surtidor", {"mediana": 0.5}).drop("n")
+    return kept.groupBy(*group).agg(
+        F.count(F.lit(1)).alias("n"), F.count_distinct("nro_inscripcion").alias("bocas"),
         weighted_mean(F.col("precio_surtidor"), F.col("volumen"), 6).alias("ponderado"), F.bool_and("completo").alias("completo"),
-    )
+    ).join(medians, group)
 
 
 @BOOK.add(f"""
     WITH {_FUEL}, u AS (SELECT * FROM f WHERE precio_surtidor > 0 AND periodo = (SELECT max(periodo) FROM f WHERE completo)),
-    e AS (SELECT nro_inscripcion, max(latitud) AS latitud, max(longitud) AS longitud FROM estaciones WHERE latitud IS NOT NULL AND longitud IS NOT NULL GROUP BY 1),
+    l AS (SELECT nro_inscripcion, max(struct_pack(t := coalesce(ultima_informacion, TIMESTAMP '0001-01-01'), a := coalesce(latitud, -1000), o := coalesce(longitud, -1000))) AS s FROM estaciones WHERE nro_inscripcion IS NOT NULL GROUP BY 1),
+    e AS (SELECT nro_inscripcion, s.a AS latitud, s.o AS longitud FROM l WHERE s.a BETWEEN -56 AND -21 AND s.o BETWEEN -74 AND -53),
     m AS (SELECT provincia_id, producto, median(precio_surtidor) AS med FROM u GROUP BY 1, 2)
     SELECT u.declaracion_id, u.nro_inscripcion, u.producto, latitud, longitud, round((precio_surtidor / nullif(med, 0) - 1) * 100 * 100) / 100 AS desvio
     FROM u JOIN e USING (nro_inscripcion) JOIN m USING (provincia_id, producto)""")
@@ -65,8 +69,8 @@ def m3_fuel_stations(spark: SparkSession, d: str) -> DataFrame:
     f = fuel_declarations(spark, d).where("precio_surtidor > 0")
     last = fuel_declarations(spark, d).where("completo").select(F.max("periodo")).scalar()
     u = f.where(F.col("periodo") == last)
-    e = table(spark, d, "estaciones").where("latitud is not null and longitud is not null").groupBy("nro_inscripcion").agg(F.max("latitud").alias("latitud"), F.max("longitud").alias("longitud"))
-    m = u.groupBy("provincia_id", "producto").agg(F.median("precio_surtidor").alias("med"))
+    e = current_stations(table(spark, d, "estaciones"))
+    m = windows.exact_percentiles(u, ["provincia_id", "producto"], "precio_surtidor", {"med": 0.5}).drop("n")
     off = scaled_round((safe_ratio(F.col("precio_surtidor"), F.col("med")) - 1) * 100, 2)
     return u.join(e, "nro_inscripcion").join(m, ["provincia_id", "producto"]).select("declaracion_id", "nro_inscripcion", "producto", "latitud", "longitud", off.alias("desvio"))
 
@@ -99,7 +103,10 @@ def m5_valuation_by_version(spark: SparkSession, d: str) -> DataFrame:
         F.upper(F.trim("mtm")).alias("clave"), "anio", "fab", "marca", "modelo", F.upper(F.trim("descripcion")).alias("descripcion"), "valor_fiscal"
     ).distinct()
     g = c.groupBy("marca", "modelo", "anio").agg(F.count_distinct("valor_fiscal").alias("valores"))
-    s = c.join(g, ["marca", "modelo", "anio"]).withColumn("parecido", scaled_round(jaro_winkler("descripcion", F.concat_ws(" ", "marca", "modelo")), 6))
+    # Texts are scored where values differ or several codes stand for one; each pair of texts once.
+    texts = c.select("marca", "modelo", "descripcion").distinct()
+    texts = texts.withColumn("parecido", scaled_round(jaro_winkler("descripcion", F.concat_ws(" ", "marca", "modelo")), 6))
+    s = c.join(g, ["marca", "modelo", "anio"]).join(texts, ["marca", "modelo", "descripcion"], "left")
     best = windows.top_per_group(s, ["marca", "modelo", "anio"], [F.desc_nulls_last("parecido"), F.asc("clave"), F.asc("valor_fiscal"), F.asc_nulls_last("descripcion")])
     return best.select("marca", "modelo", "anio", "clave", "valor_fiscal", F.when(F.col("valores") == 1, "codigo").otherwise("texto").alias("metodo"))
 

@@ -197,47 +197,6 @@ def b12_fuzzy_tiebreak(spark: SparkSession, d: str) -> DataFrame:
     return windows.top_per_group(scored, ["p_name"], [F.desc("parecido"), F.asc("candidato")])
 
 
-_CATALOGUE = [("Brand#2", "small"), ("Brand#2", "small ring"), ("Brand#2", "red"), ("Brand#7", "old gear"), ("Brand#7", "old"), ("Brand#9", "hot")]
-_VALUES = ", ".join(f"('{b}', '{n}')" for b, n in _CATALOGUE)
-
-
-@BOOK.add(f"""
-    WITH c(marca, nombre) AS (VALUES {_VALUES})
-    SELECT p_partkey, arg_max(nombre, length(nombre)) AS nombre FROM part LEFT JOIN c ON p_brand = marca AND (p_name = nombre OR p_name LIKE nombre || ' %')
-    GROUP BY p_partkey""")
-def b13_token_prefix_match(spark: SparkSession, d: str) -> DataFrame:
-    words = lambda c: F.split(c, " ")
-    names = spark.createDataFrame(_CATALOGUE, "p_brand string, nombre string").withColumn("w", words("nombre"))
-    parts = table(spark, d, "part").withColumn("words", words("p_name"))
-    return joins.prefix_match(parts, names, "p_brand", "words", "nombre", "w").select("p_partkey", "nombre")
-
-
-@BOOK.add("""
-    WITH n(nombre) AS (VALUES ('nafta'), ('nafta super'), ('precio'), ('taller oficial'), ('taller')),
-    d AS (SELECT doc_id, string_split(trim(regexp_replace(lower(strip_accents(text)), '[^a-z0-9]+', ' ', 'g')), ' ') AS w FROM documents WHERE text IS NOT NULL),
-    h AS (SELECT doc_id, i AS start, k AS length, array_to_string(w[i:i + k - 1], ' ') AS nombre FROM d, range(1, len(w) + 1) AS a(i), range(1, 3) AS b(k) WHERE i + k - 1 <= len(w)),
-    m AS (SELECT h.* FROM h SEMI JOIN n USING (nombre))
-    SELECT nombre, count(*) AS veces, count(DISTINCT doc_id) AS documentos FROM m
-    WHERE NOT EXISTS (SELECT 1 FROM m o WHERE o.doc_id = m.doc_id AND o.start <= m.start AND o.start + o.length >= m.start + m.length AND o.length > m.length)
-    GROUP BY nombre""")
-def b14_ngram_match(spark: SparkSession, d: str) -> DataFrame:
-    from rodaje.functions.text import text_key
-
-    texts = table(spark, d, "documents").where("text is not null").select("doc_id", F.split(text_key(F.col("text")), " ").alias("w"))
-    names = spark.createDataFrame([(n,) for n in ("nafta", "nafta super", "precio", "taller oficial", "taller")], "nombre string").withColumn("nw", F.split("nombre", " "))
-    hits = joins.ngram_match(texts, names, "doc_id", "w", "nombre", "nw", longest=2)
-    return hits.groupBy(F.col("name").alias("nombre")).agg(F.count(F.lit(1)).alias("veces"), F.count_distinct("doc_id").alias("documentos"))
-
-
-@BOOK.add("""
-    WITH f(marca, ficha) AS (VALUES ('Brand#2', ['ring']), ('Brand#2', ['red', 'gear']), ('Brand#5', ['old']), ('Brand#5', ['gizmo', 'hot']))
-    SELECT p_partkey, array_to_string(ficha, ' ') AS ficha FROM part JOIN f ON p_brand = marca WHERE list_has_all(string_split(p_name, ' '), ficha)""")
-def b15_subset_match(spark: SparkSession, d: str) -> DataFrame:
-    sheets = spark.createDataFrame([("Brand#2", ["ring"]), ("Brand#2", ["red", "gear"]), ("Brand#5", ["old"]), ("Brand#5", ["gizmo", "hot"])], "p_brand string, f array<string>")
-    parts = table(spark, d, "part").withColumn("w", F.split("p_name", " "))
-    return joins.subset_match(sheets, parts, ["p_brand"], "f", "w").select("p_partkey", F.array_join("f", " ").alias("ficha"))
-
-
 @BOOK.add("""
     SELECT n_nationkey, CASE n_nationkey WHEN 3 THEN 'TRES' WHEN 9 THEN 'NUEVE' ELSE n_name END AS n_name FROM nation""")
 def b16_override_join(spark: SparkSession, d: str) -> DataFrame:

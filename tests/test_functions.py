@@ -18,7 +18,7 @@ def test_keys_and_slugs(spark):
 
 @pytest.mark.parametrize(
     ("raw", "want"),
-    [("Pick-up Gol+ 1.6L", "GOL PLUS 1,6"), ("c 4 lounge", "C4 LOUNGE"), ("T-Cross", "T CROSS"), ("Peugeot  208 1,2", "PEUGEOT 208 1,2"), ("Nueva línea X 5", "X5")],
+    [("Pick-up Gol+ 1.6L", "GOL PLUS 1,6"), ("c 4 lounge", "C4 LOUNGE"), ("T-Cross", "T CROSS"), ("Peugeot  208 1,2", "PEUGEOT 208 1,2"), ("Nueva línea X 5", "LINEA X5")],
 )
 def test_normal_form(spark, raw, want):
     assert each(spark, [raw], X.norm) == [want]

@@ -16,8 +16,24 @@ def test_salted_join_is_an_inner_join(spark, rows):
 def test_asof_join(spark, rows):
     left = spark.createDataFrame([(1, "a", 5), (2, "a", 1), (3, "b", 9), (4, None, 9), (5, "a", None), (6, "a", 7)], "id int, k string, t int")
     right = spark.createDataFrame([("a", 2, 20), ("a", 5, 50), ("a", 5, 49), ("c", 1, 1), ("a", None, 9), (None, 1, 7), ("a", 6, None)], "k string, at int, v int")
-    got = rows(joins.asof_join(left, right, ["k"], "t", "at", ["v"]).select("id", "v"))
-    assert got == [(1, 50), (2, None), (3, None), (4, None), (5, None), (6, None)]
+    for hot in (1_000_000, 2):
+        got = rows(joins.asof_join(left, right, ["k"], "t", "at", ["v"], hot=hot).select("id", "v"))
+        assert got == [(1, 50), (2, None), (3, None), (4, None), (5, None), (6, None)]
+
+
+def test_fill_and_rank_over_ranges(spark):
+    import random
+
+    rng = random.Random(1)
+    data = [(rng.choice(["a", "a", "a", "b", None]), i, rng.choice([None, None, i])) for i in range(400)]
+    rng.shuffle(data)
+    df = spark.createDataFrame(data, "k string, t int, v int").repartition(7)
+    plain = {(r.k, r.t): r.f for r in windows.forward_fill(df, ["k"], ["t"], "v", "f").collect()}
+    spread = {(r.k, r.t): r.f for r in windows.forward_fill(df, ["k"], ["t"], "v", "f", hot=10).collect()}
+    assert plain == spread and len(plain) == 400
+    ranks = {r.t: r.n for r in windows.global_rank(df, [F.desc("t")], "n").collect()}
+    assert ranks == {t: 400 - t for t in range(400)}
+    assert windows.global_rank(df.limit(0), ["t"], "n").count() == 0
 
 
 def test_bracket_and_nearest(spark, rows):
@@ -28,18 +44,21 @@ def test_bracket_and_nearest(spark, rows):
     assert [r[0] for r in got] == [10.0, 10.0, None, 0.0, None]
 
 
-def test_prefix_ngram_subset(spark, rows):
-    w = lambda c: F.split(c, " ")
-    names = spark.createDataFrame([("v", "GOL"), ("v", "GOL TREND"), ("v", "UP"), ("v", "1,6L GO")], "marca string, name string").withColumn("nw", w("name"))
-    texts = spark.createDataFrame([(1, "v", "GOL TREND MSI"), (2, "v", "GOLF"), (3, "x", "GOL"), (4, "v", "")], "id int, marca string, t string").withColumn("tw", w("t"))
-    assert rows(joins.prefix_match(texts, names, "marca", "tw", "name", "nw").select("id", "name")) == [(1, "GOL TREND"), (2, None), (3, None), (4, None)]
-    digit = spark.createDataFrame([("v", "C3")], "marca string, name string").withColumn("nw", w("name"))
-    longer = spark.createDataFrame([(1, "v", "C3L FEEL")], "id int, marca string, t string").withColumn("tw", w("t"))
-    assert rows(joins.prefix_match(longer, digit, "marca", "tw", "name", "nw").select("id", "name")) == [(1, "C3")]
-    hits = joins.ngram_match(texts.select("id", "tw"), names, "id", "tw", "name", "nw", longest=2)
-    assert rows(hits) == [(1, 1, 2, "GOL TREND"), (3, 1, 1, "GOL")]
-    sheets = spark.createDataFrame([("v", ["MSI", "GOL"])], "marca string, f array<string>")
-    assert rows(joins.subset_match(sheets, texts, ["marca"], "f", "tw").select("id")) == [(1,)]
+def test_exact_percentiles(spark):
+    import random
+
+    import numpy as np
+
+    rng = random.Random(3)
+    values = {"a": [rng.lognormvariate(3, 2) * rng.choice([1, 1, -1]) for _ in range(501)], "b": [5.0] * 40 + [7.0] * 41, None: [0.0, -1.0], "c": [1e300, 2.5e-300], "one": [4.2]}
+    data = [(k, v) for k, vs in values.items() for v in vs] + [("a", None), ("a", float("nan")), ("a", float("inf")), ("none", None)]
+    df = spark.createDataFrame(data, "k string, v double")
+    got = {r.k: (r.n, r.p1, r.p50, r.p90) for r in windows.exact_percentiles(df, ["k"], "v", {"p1": 0.01, "p50": 0.5, "p90": 0.9}).collect()}
+    assert set(got) == set(values)
+    for k, vs in values.items():
+        assert got[k][0] == len(vs)
+        assert np.allclose(got[k][1:], np.percentile(vs, [1, 50, 90]), rtol=1e-12)
+    assert windows.exact_percentiles(df.limit(0), ["k"], "v", {"m": 0.5}).count() == 0
 
 
 def test_override_and_windows(spark, rows):
