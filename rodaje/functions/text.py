@@ -85,6 +85,11 @@ def token_set(c: Column, drop: Column | None = None, synonyms: Mapping[str, str]
     return F.array_distinct(F.array_except(tokens, words(drop)) if drop is not None else tokens)
 
 
+def capitalised(c: Column) -> Column:
+    """The first letter in upper case, the rest as it is."""
+    return F.concat(F.upper(F.left(c, F.lit(1))), F.substring(c, F.lit(2), F.length(c)))
+
+
 def has_all_words(text: Column, query: str) -> Column:
     """Every word of the query stands somewhere in the text; case and accents don't count. True for an empty query."""
     folded = F.lower(strip_accents(text))
@@ -117,21 +122,35 @@ def multilabel(c: Column, rules: Sequence[tuple[str, str, str | None]]) -> Colum
 
 
 def years_named(c: Column) -> Column:
-    """struct(desde, hasta): the years a title names, as '2010/2015', '2010 a 2015', 'desde 2010', 'hasta 2015' or one year."""
-    year = r"((?:19[5-9]|20[0-4])\d)"
-    at = lambda p, g=1: F.regexp_extract(c, p, g).try_cast("int")
-    span = rf"(?i){year}\s*(?:/|-|a|al|hasta)\s*{year}"
-    since, until, single = rf"(?i)(?:desde|>)\s*{year}", rf"(?i)(?:hasta|<)\s*{year}", rf"\b{year}\b"
+    """struct(desde, hasta): the years a title names; an open end is null, and both are if it names none.
+
+    '2010/2015', '98 a 2004', '98-04'; 'desde 98', 'a partir de 2010', '2010 en adelante', '2010>', '2010+'; 'hasta 2015', '<2015'; "mod. 98", "'98"; a
+    single year of four digits. The first form that is found counts. Two digits up to 49 are of this century.
+    """
+    four, any_ = r"(?:19[5-9]|20[0-4])\d", r"(?:(?:19[5-9]|20[0-4])\d|[05-9]\d|[1-4]\d)"
+    head, tail = r"(?<![\d.,/-])", r"(?![\d]|[.,]\d)"
+
+    def year(pattern: str, group: int = 1) -> Column:
+        n = F.regexp_extract(c, pattern, group).try_cast("int")
+        return F.when(n < 50, n + 2000).when(n < 100, n + 1900).otherwise(n)
+
+    span = rf"(?i){head}({any_})\s*(?:/|-|\ba\b|\bal\b|\bhasta\b)\s*({any_}){tail}(?![/-])"
+    since = [rf"(?i)(?:\bdesde\b|\ba partir de\b|>)\s*(?:el\s+)?({any_}){tail}", rf"(?i){head}({four})\s*(?:en adelante|>|\+)"]
+    until = [rf"(?i)(?:\bhasta\b|<)\s*(?:el\s+)?({any_}){tail}"]
+    single = [rf"(?i)\bmod(?:elo|\.)?\s*({any_}){tail}", rf"'({any_}){tail}", rf"{head}({four}){tail}"]
+    first, last = year(span), year(span, 2)
+    ok = first.isNotNull() & (first <= last)
+    low, high, one = (F.coalesce(*[year(p) for p in ps]) for ps in (since, until, single))
+    open_ = low.isNotNull() | high.isNotNull()
     return F.struct(
-        F.coalesce(at(span), at(since), F.when(~c.rlike(until), at(single))).alias("desde"),
-        F.coalesce(at(span, 2), at(until), F.when(~c.rlike(since), at(single))).alias("hasta"),
+        F.when(ok, first).when(open_, low).otherwise(one).alias("desde"), F.when(ok, last).when(open_, high).otherwise(one).alias("hasta")
     )
 
 
 def engines_named(c: Column) -> Column:
     """Displacements that a title names, sorted and joined by a slash; null if there is none."""
     found = F.array_sort(F.array_distinct(F.transform(
-        F.regexp_extract_all(c, F.lit(r"\b(\d[.,]\d)(?=\s|[lL]\b|$)"), F.lit(1)), lambda x: F.replace(x, F.lit(","), F.lit("."))
+        F.regexp_extract_all(c, F.lit(r"\b(\d[.,]\d)(?=[\s/]|[lL]\b|$)"), F.lit(1)), lambda x: F.replace(x, F.lit(","), F.lit("."))
     )))
     return F.nullif(F.array_join(found, "/"), F.lit(""))
 

@@ -28,6 +28,23 @@ def units_of(title: Column, kind: Column, sold_in_sets: Mapping[str, int]) -> Co
     return F.when(usual.isNull(), 1).otherwise(F.coalesce(quantity_named(title), guess))
 
 
+def automatic(model: Column) -> Column:
+    """Whether a model's text names an automatic gearbox; null for null."""
+    return F.upper(model).rlike(r"\b(AT\d?|CVT|AUT|TIPTRONIC|DSG)\b")
+
+
+def body(kind: Column) -> Column:
+    """The bucket of a body: pick-up, furgon, sedan or otra."""
+    return F.when(kind.rlike("^PICK"), "pick-up").when(kind.rlike("^FURG"), "furgon").when(kind.rlike("^(SEDAN|BERLINA)"), "sedan").otherwise("otra")
+
+
+def inches(text: Column) -> Column:
+    """The inches a text names: a number with its unit, a rim ('R16'), or the number behind a screen, panel or wheel; null if none."""
+    t = F.lower(strip_accents(text))
+    patterns = (r'(\d{1,2}(?:[.,]\d)?)\s*(?:"|pulg|plg|in\b)', r"\br\s?(\d{2})\b", r"(?:pantalla|display|tablero|llanta\w*|rodado)\D{0,30}?(\d{1,2})\b")
+    return F.replace(F.coalesce(*[extract(t, p) for p in patterns]), F.lit(","), F.lit(".")).try_cast("double")
+
+
 def sku_base(sku: Column, suffixes: Sequence[str] = ()) -> Column:
     """The code without what stands behind its last dash, or without a supplier's suffix."""
     base = F.regexp_replace(sku, r"-[^-]*$", "")

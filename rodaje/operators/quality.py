@@ -56,6 +56,13 @@ def violations(checks: Mapping[str, DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, [one(n, df) for n, df in checks.items()])
 
 
+def graded(checks: Sequence[tuple[str, DataFrame]]) -> DataFrame:
+    """prueba, valor, estado: each check is a row of v, error and warn; estado is 'error', 'aviso' or 'bien'. A check without a value is an error."""
+    state = F.when(F.coalesce(F.col("error"), F.lit(True)), "error").when(F.coalesce(F.col("warn"), F.lit(True)), "aviso").otherwise("bien")
+    one = lambda name, df: df.select(F.lit(name).alias("prueba"), F.col("v").cast("double").alias("valor"), state.alias("estado"))
+    return reduce(DataFrame.unionByName, [one(n, df) for n, df in checks])
+
+
 def conserved(before: DataFrame, after: DataFrame, amount: Column | None = None) -> bool:
     """Whether a step kept its rows, or the sum of an amount; for use after left joins."""
     total = F.count(F.lit(1)) if amount is None else F.sum(amount.cast("decimal(38,4)"))

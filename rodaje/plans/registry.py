@@ -7,11 +7,11 @@ from types import ModuleType
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rodaje.plans import analytics, composites, domain, extras, general, matches, relational, scalars
+from rodaje.plans import analytics, composites, domain, extras, forms, general, matches, relational, scalars
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-MODULES: list[ModuleType] = [general, relational, analytics, scalars, composites, domain, extras, matches]
+MODULES: list[ModuleType] = [general, relational, analytics, scalars, composites, domain, extras, matches, forms]
 
 
 def queries() -> dict[str, Query]:

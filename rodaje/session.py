@@ -38,6 +38,12 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
     sc.setCheckpointDir(named)
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The checkpoint folder, which all executors share; for tables that a query writes and reads back."""
+    ensure_checkpoint_dir(spark)
+    return spark.sparkContext._jsc.sc().getCheckpointDir().get()
+
+
 def cut(df: DataFrame) -> DataFrame:
     """Write df once to the shared checkpoint folder and continue from the files."""
     ensure_checkpoint_dir(df.sparkSession)

@@ -6,6 +6,7 @@ import csv
 import io
 import zipfile
 from collections.abc import Iterator, Sequence
+from functools import reduce
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -23,6 +24,39 @@ def parquet_glob(spark: SparkSession, pattern: str, merge: bool = False) -> Data
     return spark.read.option("mergeSchema", str(merge).lower()).parquet(pattern)
 
 
+#: Types in the order in which one holds the one before; a type outside the list meets others only in string.
+_WIDER = ["boolean", "tinyint", "smallint", "int", "bigint", "double", "string"]
+
+
+def common_type(a: str, b: str) -> str:
+    """The least type that holds both: the wider of two numbers, the same for equal types, timestamp for a date and a timestamp, else string."""
+    if a == b or b == "void":
+        return a
+    if a == "void":
+        return b
+    if {a, b} <= {"date", "timestamp", "timestamp_ntz"}:
+        return "timestamp"
+    numbers = _WIDER[1:-1]
+    if {a, b} <= {*numbers, "float"}:
+        rank = lambda t: numbers.index("double" if t == "float" else t)
+        return numbers[max(rank(a), rank(b))]
+    return "string"
+
+
+def union_by_name(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
+    """Parquet files or globs united by column name; absent columns are null, columns of several types take their common one.
+
+    Schemas are read from the footers of one file per path. Columns keep the order in which they are first met.
+    """
+    frames = [spark.read.parquet(p) for p in paths]
+    types: dict[str, str] = {}
+    for df in frames:
+        for c, t in df.dtypes:
+            types[c] = common_type(types.get(c, "void"), t)
+    as_one = [df.select(*[(F.col(f"`{c}`") if c in df.columns else F.lit(None)).cast(t).alias(c) for c, t in types.items()]) for df in frames]
+    return reduce(DataFrame.unionByName, as_one)
+
+
 def csv_text(spark: SparkSession, path: str, sep: str = ",", encoding: str = "UTF-8") -> DataFrame:
     """A CSV with a header, every column text: codes keep their leading zeros."""
     return spark.read.option("header", True).option("sep", sep).option("encoding", encoding).csv(path)

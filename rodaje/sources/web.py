@@ -1,10 +1,14 @@
-"""Rules of polite reading: robots.txt and the mapping of files to stored assets. Pure functions, no network."""
+"""Rules of polite reading: robots.txt and the mapping of files to stored assets. No network."""
 
 from __future__ import annotations
 
 import re
 from urllib.parse import quote, unquote, urlsplit
 
+import pandas as pd
+from pyspark.sql import Column
+from pyspark.sql import functions as F
+
 
 def robots_allow(url: str, robots: str, agent: str = "*") -> bool:
     """Whether a robots.txt lets an agent read a URL.
@@ -44,3 +48,24 @@ def asset_name(path: str) -> str:
 
 def path_of_asset(name: str) -> str:
     return unquote(name.replace("__", "/"))
+
+
+def allowed(url: Column, robots: str, agent: str = "*") -> Column:
+    """Whether one robots.txt lets an agent read each URL, by Arrow batches; a null URL is not."""
+
+    def check(urls: pd.Series) -> pd.Series:
+        return urls.map(lambda u: u is not None and robots_allow(u, robots, agent)).astype(bool)
+
+    return F.pandas_udf(check, "boolean")(url)
+
+
+def asset_name_of(path: Column) -> Column:
+    """`asset_name` as a column: percent signs, underscores and slashes written so that the name is flat and leads back."""
+    marked = F.replace(F.replace(path, F.lit("%"), F.lit("%25")), F.lit("_"), F.lit("%5F"))
+    return F.replace(marked, F.lit("/"), F.lit("__"))
+
+
+def path_of(name: Column) -> Column:
+    """The path an `asset_name_of` came from."""
+    flat = F.replace(F.replace(name, F.lit("__"), F.lit("/")), F.lit("%5F"), F.lit("_"))
+    return F.replace(flat, F.lit("%25"), F.lit("%"))

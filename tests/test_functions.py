@@ -65,3 +65,16 @@ def test_numbers(spark):
     points = ((0, 1.0), (1, 0.8), (5, None), (10, 0.2))
     assert [round(curve(x, *points), 4) for x in (0, 0.5, 1, 4, 10, 15)] == [1.0, 0.9, 0.8, 0.6, 0.2, 0.2]
     assert curve(3, (0, None), (1, None)) is None
+
+
+@pytest.mark.parametrize(
+    ("title", "want"),
+    [
+        ("Filtro Gol 2010/2015", (2010, 2015)), ("Corsa 98 a 2004", (1998, 2004)), ("Ka 98-04", (1998, 2004)), ("Fox desde 2012", (2012, None)), ("Uno a partir de 98", (1998, None)),
+        ("208 2013 en adelante", (2013, None)), ("208 2013>", (2013, None)), ("Ka hasta 2007", (None, 2007)), ("Clio <2009", (None, 2009)), ("Gol mod. 95", (1995, 1995)), ("Gol '95", (1995, 1995)),
+        ("Fox 2012", (2012, 2012)), ("Correa 6PK 1.4/1.8", (None, None)), ("Neumatico 205/55 R16", (None, None)), ("Peugeot 208", (None, None)), ("", (None, None)), (None, (None, None)),
+    ],
+)
+def test_years_in_titles(spark, title, want):
+    df = spark.createDataFrame([(title,)], "t string").select(X.years_named(F.col("t")).alias("y"))
+    assert tuple(df.first().y) == want
