@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rodaje.llm import linkage, packing, simjoin, sketch, spans, tokens
+from rodaje.operators import windows
+from rodaje.session import cut
 from rodaje.sources import table
 
 FUEL_GROUP = ["periodo", "provincia_id", "producto", "bandera"]
@@ -54,7 +56,7 @@ def p5_members(spark: SparkSession, sf_dir: str) -> DataFrame:
 def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sketch.misprinted(
         table(spark, sf_dir, "combustible_precios"), table(spark, sf_dir, "combustible_mensual"),
-        FUEL_GROUP, "precio_surtidor", "precio_mediano", "declaracion_id",
+        FUEL_GROUP, "precio_surtidor", "precio_mediano", "declaracion_id", ["canal_de_comercializacion"],
     )
 
 
@@ -77,14 +79,56 @@ def p6_merged(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sketch.percentiles(sketch.merge([_monthly(spark, sf_dir)], keys), keys, PROBS)
 
 
+def p6_within(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whether each group's sketched quartiles lie within the stated error of the exact ones."""
+    prices = table(spark, sf_dir, "combustible_precios").where("precio_surtidor > 0").select("declaracion_id", *FUEL_GROUP, "precio_surtidor")
+    exact = windows.exact_percentiles(sketch.once(prices, "declaracion_id"), FUEL_GROUP, "precio_surtidor", {"e25": 0.25, "e50": 0.5, "e75": 0.75}).drop("n")
+    met = p6_percentiles(spark, sf_dir).join(exact, FUEL_GROUP)
+    close = lambda p: F.abs(F.col(f"p_{p}") - F.col(f"e{p}")) <= F.lit(sketch.ERROR * 1.000001) * F.col(f"e{p}")
+    return met.select(*FUEL_GROUP, "n", (close("25") & close("50") & close("75")).alias("dentro"))
+
+
 def p8_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.token_ids(table(spark, sf_dir, "documents"))
 
 
+def _long_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Texts of a million characters and more: those of two thousand documents one behind the other, twice."""
+    docs = table(spark, sf_dir, "documents").where("text is not null").select("doc_id", "text", F.floor(F.col("doc_id") / 2000).cast("long").alias("grupo"))
+    ordered = F.transform(F.array_sort(F.collect_list(F.struct("doc_id", "text"))), lambda x: x["text"])
+    return docs.groupBy("grupo").agg(F.array_join(ordered, " ").alias("t")).select(F.col("grupo").alias("doc_id"), F.concat_ws(" ", "t", "t").alias("text"))
+
+
+def p8_long(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Very long texts encoded in pieces by several tasks; vuelta tells whether the ids give the text back, and as many as are counted."""
+    docs = cut(_long_texts(spark, sf_dir))
+    ids = cut(tokens.token_ids(docs))
+    back = tokens.texts_of(ids).withColumnRenamed("text", "back").join(ids.select("doc_id", F.size("ids").alias("n")), "doc_id").join(tokens.token_counts(docs).withColumnRenamed("n", "m"), "doc_id")
+    same = (F.col("back") == F.col("text")) & (F.col("n") == F.col("m"))
+    return docs.join(back, "doc_id").select(F.col("doc_id").alias("grupo"), F.length("text").cast("long").alias("caracteres"), same.alias("vuelta"))
+
+
 def p9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(tokens.token_counts(table(spark, sf_dir, "documents")))
 
 
+def p9_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What must hold of the packing: every document placed whole, no container over its capacity, no overlap, little room left over."""
+    docs = table(spark, sf_dir, "documents")
+    sizes = cut(tokens.token_counts(docs))
+    placed = cut(packing.pack(sizes))
+    per = placed.groupBy("container").agg(F.sum("n_tokens").alias("used"), F.max(F.col("at") + F.col("n_tokens")).alias("upto"))
+    used = per.agg(F.count_if(F.col("used") > 2048).alias("llenos_de_mas"), F.count_if(F.col("used") < F.col("upto")).alias("con_huecos"), F.count_if(F.col("used") > 0).alias("k"), F.sum("used").alias("s"))
+    whole = placed.groupBy("doc_id").agg(F.sum("n_tokens").alias("m"), F.count(F.lit(1)).alias("parts"))
+    kept = sizes.join(whole, "doc_id", "left").agg(
+        F.count(F.lit(1)).alias("documentos"), F.count_if(~F.col("n").eqNullSafe(F.col("m"))).alias("incompletos"),
+        F.count_if(F.col("parts") > F.greatest(F.ceil(F.col("n") / 2048), F.lit(1))).alias("partidos_de_mas"),
+    )
+    least = F.ceil(F.col("s") / 2048)
+    one = F.lit(1).alias("one")  # both sides are one row
+    return kept.select("*", one).join(used.select("*", one), "one").select("documentos", "incompletos", "partidos_de_mas", "llenos_de_mas", "con_huecos", (F.col("k") <= least * 1.01 + 1).alias("ajustado"))
+
+
 def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spans.shared_pairs(table(spark, sf_dir, "documents"))
 
@@ -101,7 +145,7 @@ def p10_links(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (p3_found, p3_unmatched, p5_found, p5_confidence, p5_candidates, p5_members, p6_found, p6_percentiles, p6_merged, p8_ids, p9_packing, p10_found, p10_shared, p10_links)}
+    return {f.__name__: f for f in (p3_found, p3_unmatched, p5_found, p5_confidence, p5_candidates, p5_members, p6_found, p6_percentiles, p6_merged, p6_within, p8_ids, p8_long, p9_packing, p9_checks, p10_found, p10_shared, p10_links)}
 
 
 def oracle_sql() -> dict[str, str]:
@@ -115,6 +159,27 @@ def oracle_sql() -> dict[str, str]:
             SELECT DISTINCT periodo, provincia_id, producto, bandera
             FROM combustible_mensual JOIN m USING (periodo, provincia_id, producto, bandera)
             WHERE abs(precio_mediano - mediana) > 0.01 * mediana""",
+        "p6_within": """
+            WITH once AS (SELECT DISTINCT ON (declaracion_id) * FROM combustible_precios WHERE precio_surtidor > 0)
+            SELECT periodo, provincia_id, producto, bandera, count(*) AS n, true AS dentro FROM once GROUP BY ALL""",
+        "p8_long": """
+            SELECT CAST(floor(doc_id / 2000) AS BIGINT) AS grupo, CAST(2 * length(string_agg(text, ' ')) + 1 AS BIGINT) AS caracteres, true AS vuelta
+            FROM documents WHERE text IS NOT NULL GROUP BY 1""",
+        "p9_checks": """
+            SELECT count(*) AS documentos, 0::BIGINT AS incompletos, 0::BIGINT AS partidos_de_mas, 0::BIGINT AS llenos_de_mas, 0::BIGINT AS con_huecos, true AS ajustado
+            FROM documents""",
+        "p10_links": """
+            WITH t AS (SELECT DISTINCT doc_id, text FROM documents), c AS (SELECT doc_id, text, CASE WHEN length(text) >= 150 THEN min(doc_id) OVER (PARTITION BY text) ELSE doc_id END AS clase FROM t),
+            d AS (SELECT DISTINCT clase, text FROM c WHERE length(text) >= 150),
+            w AS (SELECT DISTINCT clase, md5(substring(text, p, 150)) AS h FROM d, range(1, length(text) - 148) AS r(p)),
+            s AS (SELECT h FROM w GROUP BY h HAVING count(*) > 1), k AS (SELECT w.* FROM w SEMI JOIN s USING (h)),
+            e AS (SELECT a.clase, count(DISTINCT b.clase) AS enlaces FROM k a JOIN k b ON a.h = b.h AND a.clase <> b.clase GROUP BY 1)
+            SELECT doc_id, clase, count(*) OVER (PARTITION BY clase) AS copias, CAST(coalesce(enlaces, 0) AS BIGINT) AS enlaces FROM c LEFT JOIN e USING (clase)""",
+        "p10_found": """
+            WITH d AS (SELECT DISTINCT doc_id, text FROM documents WHERE length(text) >= 150),
+            w AS (SELECT DISTINCT doc_id, md5(substring(text, p, 150)) AS h FROM d, range(1, length(text) - 148) AS r(p)),
+            s AS (SELECT h FROM w GROUP BY h HAVING count(*) > 1), k AS (SELECT w.* FROM w SEMI JOIN s USING (h))
+            SELECT DISTINCT a.doc_id AS doc_a, b.doc_id AS doc_b FROM k a JOIN k b ON a.h = b.h AND a.doc_id < b.doc_id""",
         "p10_shared": """
             WITH d AS (SELECT doc_id, text FROM documents WHERE length(text) >= 150),
             w AS (SELECT doc_id, p, md5(substring(text, p, 150)) AS h FROM d, range(1, length(text) - 148) AS r(p)),

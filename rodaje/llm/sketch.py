@@ -17,6 +17,10 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 
+#: The relative error of a sketch, unless another is asked for.
+ERROR = 0.0005
+
+
 def bucket(value: Column, error: float) -> tuple[Column, Column]:
     """Sign and bucket of a value; null for null, NaN and infinite ones."""
     v = value.cast("double")
@@ -32,7 +36,7 @@ def representative(sign: Column, index: Column, error: float) -> Column:
     return sign * F.exp(index * F.lit(width)) * F.lit(1 - error)
 
 
-def sketch(df: DataFrame, keys: Sequence[str], value: str, error: float = 0.0005) -> DataFrame:
+def sketch(df: DataFrame, keys: Sequence[str], value: str, error: float = ERROR) -> DataFrame:
     """keys, sign, bucket, n: how many values of each group fall into each bucket.
 
     Null, NaN and infinite values are not counted. Null keys form a group of their own.
@@ -50,7 +54,7 @@ def merge(sketches: Sequence[DataFrame], keys: Sequence[str]) -> DataFrame:
     return union.groupBy(*keys, "sign", "bucket").agg(F.sum("n").alias("n"))
 
 
-def percentiles(sk: DataFrame, keys: Sequence[str], probs: Sequence[float], error: float = 0.0005) -> DataFrame:
+def percentiles(sk: DataFrame, keys: Sequence[str], probs: Sequence[float], error: float = ERROR) -> DataFrame:
     """keys, n, and p_<percent> per probability, each within the relative error of the interpolated percentile.
 
     Like percentile_cont, rank (n - 1) p is interpolated between its two neighbours; where these have one sign, the
@@ -83,16 +87,16 @@ def once(rows: DataFrame, id_col: str) -> DataFrame:
 
 
 def misprinted(
-    prices: DataFrame, published: DataFrame, keys: Sequence[str], value: str, stated: str, id_col: str, tolerance: float = 0.01, error: float = 0.0005
+    prices: DataFrame, published: DataFrame, keys: Sequence[str], value: str, stated: str, id_col: str, parts: Sequence[str] = (),
+    tolerance: float = 0.01, error: float = ERROR,
 ) -> DataFrame:
     """The groups whose stated median is more than `tolerance` off that of the positive values, each id counted once.
 
-    The sketch's error is far below the tolerance. Groups without a stated value, or with none to compare, are left out.
-    A row without an id counts by itself.
+    Sketches are made by keys and parts (days, channels or the like) and merged over the parts. Their error is far below the
+    tolerance. Groups without a stated value, or with none to compare, are left out. A row without an id counts by itself.
     """
-    sign, index = bucket(F.col(value), error)
-    rows = prices.where(F.col(value) > 0).select(id_col, *keys, sign.alias("sign"), index.alias("bucket")).where(F.col("sign").isNotNull())
-    sk = once(rows, id_col).groupBy(*keys, "sign", "bucket").agg(F.count(F.lit(1)).alias("n"))
-    medians = percentiles(sk, keys, [0.5], error)
+    finer = [*keys, *[p for p in parts if p not in keys]]
+    rows = once(prices.where(F.col(value) > 0).select(id_col, *finer, value), id_col)
+    medians = percentiles(merge([sketch(rows, finer, value, error)], keys), keys, [0.5], error)
     off = F.abs(F.col(stated) - F.col("p_50")) > F.lit(tolerance) * F.col("p_50")
     return published.select(*keys, stated).join(medians, list(keys)).where(off).select(*keys).distinct()

@@ -27,7 +27,7 @@ TOKENIZERS = "/opt/tokenizers"
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
 #: Characters a piece has at most before it is halved within a task, and before its halves go to other tasks.
-PIECE = 1 << 15
+PIECE = 1 << 11
 SPREAD = 1 << 20
 
 
@@ -270,6 +270,18 @@ def token_ids(
     return near.unionByName(whole)
 
 
+def texts_of(encoded: DataFrame, folder: str = TOKENIZERS, name: str = "byte_bpe_50k") -> DataFrame:
+    """doc_id, text: the texts that token ids stand for; '' for an empty list."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        enc = encoder(folder, name)
+        for batch in batches:
+            texts = [enc.decode(ids) for ids in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, type=pa.string())], names=["doc_id", "text"])
+
+    return encoded.select("doc_id", "ids").mapInArrow(run, "doc_id long, text string")
+
+
 def token_counts(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", folder: str = TOKENIZERS, name: str = "byte_bpe_50k",
     piece: int = PIECE, spread: int = SPREAD,
