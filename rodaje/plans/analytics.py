@@ -272,10 +272,11 @@ def e4_composite_sort(spark: SparkSession, d: str) -> DataFrame:
     return top.select("o_orderkey", F.row_number().over(W.orderBy(*by)).alias("puesto"))
 
 
-@BOOK.add()
+@BOOK.add("SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice FROM orders ORDER BY md5(o_orderkey || '/7'), o_orderkey LIMIT 200")
 def e5_seeded_sample(spark: SparkSession, d: str) -> DataFrame:
     """200 orders drawn by a hash of the key and a seed: the same ones on any cluster."""
-    return table(spark, d, "orders").orderBy(F.xxhash64("o_orderkey", F.lit(7)), "o_orderkey").limit(200)
+    rows = table(spark, d, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice")
+    return rows.orderBy(F.md5(F.concat(F.col("o_orderkey").cast("string"), F.lit("/7"))), "o_orderkey").limit(200)
 
 
 @BOOK.add("""

@@ -63,7 +63,7 @@ def m2_fuel_monthly(spark: SparkSession, d: str) -> DataFrame:
     l AS (SELECT nro_inscripcion, max(struct_pack(t := coalesce(ultima_informacion, TIMESTAMP '0001-01-01'), a := coalesce(latitud, -1000), o := coalesce(longitud, -1000))) AS s FROM estaciones WHERE nro_inscripcion IS NOT NULL GROUP BY 1),
     e AS (SELECT nro_inscripcion, s.a AS latitud, s.o AS longitud FROM l WHERE s.a BETWEEN -56 AND -21 AND s.o BETWEEN -74 AND -53),
     m AS (SELECT provincia_id, producto, median(precio_surtidor) AS med FROM u GROUP BY 1, 2)
-    SELECT u.declaracion_id, u.nro_inscripcion, u.producto, latitud, longitud, round((precio_surtidor / nullif(med, 0) - 1) * 100 * 100) / 100 AS desvio
+    SELECT u.declaracion_id, u.nro_inscripcion, u.producto, latitud, longitud, round((precio_surtidor / nullif(med, 0) - 1) * 100 * 100) / 100 + 0e0 AS desvio
     FROM u JOIN e USING (nro_inscripcion) JOIN m USING (provincia_id, producto)""")
 def m3_fuel_stations(spark: SparkSession, d: str) -> DataFrame:
     f = fuel_declarations(spark, d).where("precio_surtidor > 0")
@@ -71,7 +71,7 @@ def m3_fuel_stations(spark: SparkSession, d: str) -> DataFrame:
     u = f.where(F.col("periodo") == last)
     e = current_stations(table(spark, d, "estaciones"))
     m = windows.exact_percentiles(u, ["provincia_id", "producto"], "precio_surtidor", {"med": 0.5}).drop("n")
-    off = scaled_round((safe_ratio(F.col("precio_surtidor"), F.col("med")) - 1) * 100, 2)
+    off = scaled_round((safe_ratio(F.col("precio_surtidor"), F.col("med")) - 1) * 100, 2) + F.lit(0.0)
     return u.join(e, "nro_inscripcion").join(m, ["provincia_id", "producto"]).select("declaracion_id", "nro_inscripcion", "producto", "latitud", "longitud", off.alias("desvio"))
 
 

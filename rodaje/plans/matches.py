@@ -73,8 +73,9 @@ def n3_model_with_aliases(spark: SparkSession, d: str) -> DataFrame:
     """The model of a description: aliases first, one of which blocks; then the longest prefix."""
     m = _models(spark, d)
     first = F.col("mp")[0]
-    top = m.groupBy("clave").agg(F.max("modelo").alias("_top"))
-    aliases = m.where((F.size("mp") > 0) & (F.length(first) % 2 == 0)).join(top, "clave").select(
+    even = m.where((F.size("mp") > 0) & (F.length(first) % 2 == 0))
+    top = even.groupBy("clave").agg(F.max("modelo").alias("_top"))
+    aliases = even.join(top, "clave").select(
         "clave", F.slice("mp", 1, 1).alias("alias_words"),
         F.when(F.length(first) % 3 == 0, matching.NO_ENTRY).when(F.length(first) % 3 == 1, F.col("_top")).otherwise("OTRO").alias("target"),
     ).distinct()
