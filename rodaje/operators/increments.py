@@ -14,6 +14,12 @@ def changed_since(resources: DataFrame, state: DataFrame, key: str, modified: st
     return joined.where(F.col(seen).isNull() | F.col(modified).isNull() | (F.col(modified) > F.col(seen)))
 
 
+def due(resources: DataFrame, fetched: str, today: str, days: int) -> DataFrame:
+    """resources with days, the age of their last fetch: those fetched at least `days` days before `today`, or never (days is null)."""
+    age = F.date_diff(F.lit(today).cast("date"), F.col(fetched).cast("date"))
+    return resources.withColumn("days", age).where(F.col("days").isNull() | (F.col("days") >= days))
+
+
 def run_isolated(spark: SparkSession, loads: Mapping[str, Callable[[], int | None]]) -> DataFrame:
     """fuente, bien, filas, error: each load run by itself; what one raises is kept and the others go on.
 

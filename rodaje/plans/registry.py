@@ -7,11 +7,11 @@ from types import ModuleType
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rodaje.plans import analytics, composites, domain, extras, forms, general, matches, models, relational, scalars
+from rodaje.plans import analytics, composites, domain, extras, forms, general, loads, matches, models, relational, scalars
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-MODULES: list[ModuleType] = [general, relational, analytics, scalars, composites, domain, extras, matches, forms, models]
+MODULES: list[ModuleType] = [general, relational, analytics, scalars, composites, domain, extras, matches, forms, models, loads]
 
 
 def queries() -> dict[str, Query]:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -13,6 +13,23 @@ def write_parquet(df: DataFrame, path: str, compression: str = "zstd") -> None:
     df.write.mode("overwrite").option("compression", compression).parquet(path)
 
 
+def materialised(df: DataFrame, path: str) -> DataFrame:
+    """df written as a table and read back: later steps read the files."""
+    write_parquet(df, path)
+    return df.sparkSession.read.parquet(path)
+
+
+def write_bytes(spark: SparkSession, path: str, content: bytes) -> None:
+    """A small file of any kind, through the file system that the path names."""
+    jvm = spark.sparkContext._jvm
+    to = jvm.org.apache.hadoop.fs.Path(path)
+    out = to.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).create(to, True)
+    try:
+        out.write(bytearray(content))
+    finally:
+        out.close()
+
+
 def write_partitions(df: DataFrame, path: str, by: str) -> None:
     """Replace the partitions that df has rows for and leave the others; rows are brought together by partition first."""
     df.repartition(by).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(by).parquet(path)

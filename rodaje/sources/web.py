@@ -6,7 +6,7 @@ import re
 from urllib.parse import quote, unquote, urlsplit
 
 import pandas as pd
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -69,3 +69,16 @@ def path_of(name: Column) -> Column:
     """The path an `asset_name_of` came from."""
     flat = F.replace(F.replace(name, F.lit("__"), F.lit("/")), F.lit("%5F"), F.lit("_"))
     return F.replace(flat, F.lit("%25"), F.lit("%"))
+
+
+def manifest(spark: SparkSession, pattern: str) -> DataFrame:
+    """path, length, sha of the files of a glob; each file is hashed where it is read."""
+    files = spark.read.format("binaryFile").load(pattern)
+    return files.select("path", "length", F.sha2("content", 256).alias("sha"))
+
+
+def sync_plan(here: DataFrame, stored: DataFrame, path: str, sha: str) -> DataFrame:
+    """path, action ('subir', 'borrar', 'igual' or 'reemplazar'): what makes a store like a folder, by two manifests. A hash that is null is equal to none."""
+    a, b = here.select(path, F.col(sha).alias("_a"), F.lit(1).alias("_here")), stored.select(path, F.col(sha).alias("_b"), F.lit(1).alias("_there"))
+    action = F.when(F.col("_there").isNull(), "subir").when(F.col("_here").isNull(), "borrar").when(F.coalesce(F.col("_a") == F.col("_b"), F.lit(False)), "igual").otherwise("reemplazar")
+    return a.join(b, path, "full").select(path, action.alias("action"))
