@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from rodaje.functions import dates, titles
+from rodaje.functions import dates, requests, titles
 from rodaje.functions import text as X
 from rodaje.functions.numeric import percent, safe_ratio, scaled_round
 from rodaje.operators import geo, increments, quality, tables, windows
@@ -222,6 +222,20 @@ def r3_inches(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "equipamiento_items").where("item is not null").select("item", titles.inches(F.col("item")).alias("pulgadas")).distinct()
 
 
+_ASKED = [("camioneta gasolera, 30 mil km al año, rio tordo",), ("Zeta o Paki? 40 palos, 4 años",), ("suv hibrida automatica con originales",), ("gasto 90 mil por mes",), (None,)]
+
+
+@BOOK.add("""
+    SELECT * FROM (VALUES ('camioneta gasolera, 30 mil km al año, rio tordo', 30000e0, NULL, NULL::DOUBLE, 'diesel', NULL, 'pickup', NULL, '04', ''), ('Zeta o Paki? 40 palos, 4 años', NULL, 4, 40000000e0, '', NULL, '', NULL, NULL, 'Zeta,Paki'),
+        ('suv hibrida automatica con originales', NULL, NULL, NULL, 'hibrido', true, 'suv', true, NULL, ''), ('gasto 90 mil por mes', NULL, NULL, NULL, '', NULL, '', NULL, NULL, ''), (NULL, NULL, NULL, NULL, '', NULL, '', NULL, NULL, ''))
+        AS t(texto, km_anio, anios, presupuesto, combustible, automatica, carroceria, originales, lugar, modelos)""")
+def r4_requests(spark: SparkSession, d: str) -> DataFrame:
+    """Requests in words read into parameters."""
+    read = requests.with_request(spark.createDataFrame(_ASKED, "texto string"), "texto", ["Zeta", "Paki"], {"Río Tordo": "04"})
+    lists = {c: F.array_join(F.col(f"pedido.{c}"), ",").alias(c) for c in ("combustible", "carroceria", "modelos")}
+    return read.select("texto", *[lists.get(c, F.col(f"pedido.{c}").alias(c)) for c in ("km_anio", "anios", "presupuesto", "combustible", "automatica", "carroceria", "originales", "lugar", "modelos")])
+
+
 # Scans
 
 

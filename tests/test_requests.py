@@ -4,16 +4,21 @@ from pyspark.sql import functions as F
 from rodaje.functions import requests, titles
 
 MODELS = ["Corolla", "Corolla Cross", "208", "Amarok", "C3"]
-PLACES = ["Puerto Hondo", "Río Tordo"]
+PLACES = {"Puerto Hondo": "01", "hondo capital": "01", "Río Tordo": "04"}
 CASES = [
-    ("Quiero una camioneta diésel, hago 20.000 km por año", {"km_anio": 20000.0, "combustible": "diesel", "carroceria": "pick-up"}),
-    ("hasta 15 millones, automático, 5 años, en rio tordo", {"presupuesto": 15e6, "caja": "automatica", "anios": 5, "lugar": "Río Tordo"}),
+    ("Quiero una camioneta diésel, hago 20.000 km por año", {"km_anio": 20000.0, "combustible": ["diesel"], "carroceria": ["pickup"]}),
+    ("hasta 15 millones, automático, 5 años, en rio tordo", {"presupuesto": 15e6, "automatica": True, "anios": 5, "lugar": "04"}),
     ("corola cross o corrola? 500 km por mes", {"modelos": ["Corolla"], "km_anio": 6000.0}),
-    ("Corolla Cross vs 208 nafta", {"modelos": ["Corolla Cross", "208"], "combustible": "nafta"}),
+    ("Corolla Cross vs 208 nafta", {"modelos": ["Corolla Cross", "208"], "combustible": ["nafta"]}),
+    ("208 o Corolla Cross, Hondo Capital", {"modelos": ["208", "Corolla Cross"], "lugar": "01"}),
     ("tengo $ 8.500.000 y 10 mil km al año", {"presupuesto": 8.5e6, "km_anio": 10000.0}),
-    ("", {}),
-    (None, {}),
-]
+    ("ando 35 km diarios, manual, con repuestos originales", {"km_anio": 12775.0, "automatica": False, "originales": True}),
+    ("todos los días son 10 km; seguro de 70 lucas", {"km_anio": 3650.0, "seguro": 70000.0}),
+    ("electrica o hibrida, suv o sedan, 48M", {"combustible": ["electrico", "hibrido"], "carroceria": ["suv", "sedan"], "presupuesto": 48e6}),
+    ("tengo usd 12.000 y gasto 150 mil por mes", {}), ("lo uso hace 18000km", {}), ("hago 9000 km, lo tengo 4 años", {"km_anio": 9000.0, "anios": 4}),
+    ("por semana hago 200 kilómetros", {"km_anio": 10400.0}), ("presupuesto: $ 21.500.000 pesos, auto chico", {"presupuesto": 21.5e6, "carroceria": ["hatch"]}),
+    ("", {}), (None, {}),
+]
 
 
 @pytest.mark.parametrize(("text", "want"), CASES)
@@ -25,7 +30,8 @@ def test_requests(text, want):
 def test_requests_in_a_table(spark):
     df = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(CASES)], "i int, t string")
     got = {r.i: r.pedido for r in requests.with_request(df, "t", MODELS, PLACES).collect()}
-    assert got[3].modelos == ["Corolla Cross", "208"] and got[0].km_anio == 20000.0 and got[6].modelos == []
+    assert got[3].modelos == ["Corolla Cross", "208"] and got[0].km_anio == 20000.0 and got[len(CASES) - 1].modelos == []
+    assert got[4].lugar == "01" and got[6].originales is True
 
 
 def test_titles(spark):
