@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from rodaje.functions import dates, requests, titles
 from rodaje.functions import text as X
 from rodaje.functions.numeric import percent, safe_ratio, scaled_round
-from rodaje.operators import geo, increments, quality, tables, windows
+from rodaje.operators import geo, increments, quality, tables, units, windows
 from rodaje.plans.book import Book
 from rodaje.session import shared_folder
 from rodaje.sources import readers, sinks, table, web
@@ -20,6 +20,10 @@ from rodaje.sources import readers, sinks, table, web
 BOOK = Book()
 
 
+def _v(x: str | None) -> str:
+    return "NULL" if x is None else f"'{x}'"
+
+
 def _sql(spark: SparkSession, d: str, text: str, *names: str) -> DataFrame:
     return spark.sql(text, **{n: table(spark, d, n) for n in names})
 
@@ -222,6 +226,50 @@ def r3_inches(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "equipamiento_items").where("item is not null").select("item", titles.inches(F.col("item")).alias("pulgadas")).distinct()
 
 
+_PRICES = [("$ 1.234.567,89", 1e6), ("ARS 307.000,00", 3e5), ("$940.000.-", 9e5), ("desde 12500", 125000.0), ("$ 3.070.000", 3e5), ("consultar", 1e5), (None, 1e5)]
+
+
+@BOOK.add("""
+    SELECT * FROM (VALUES ('$ 1.234.567,89', 1234567.89e0, 1234567.89e0), ('ARS 307.000,00', 307000e0, 307000e0), ('$940.000.-', 940000e0, 940000e0), ('desde 12500', 12500e0, 125000e0),
+        ('$ 3.070.000', 3070000e0, 307000e0), ('consultar', NULL, NULL), (NULL, NULL, NULL)) AS t(texto, leido, reparado)""")
+def f21_price_texts(spark: SparkSession, d: str) -> DataFrame:
+    """Prices in local notation read from texts, and those off by ten brought back to what is usual."""
+    rows = spark.createDataFrame(_PRICES, "texto string, usual double").withColumn("leido", units.amount_in(F.col("texto")).cast("double"))
+    return rows.select("texto", "leido", titles.repaired_price(F.col("leido"), F.col("usual")).alias("reparado"))
+
+
+_OFFERS = [("Pastillas Original Mopar", "fabrica"), ("Bujia Original NGK", "NGK"), ("Filtro oem", "Original"), ("Amortiguador monroe orig", "Monroe"), ("Correa", "Alternativo"), (None, None)]
+_MAKERS = {"NGK": ["ngk"], "Monroe": ["monroe"], "Bosch": ["bosch"]}
+
+
+@BOOK.add("SELECT * FROM (VALUES " + ", ".join(f"({_v(t)}, {_v(q)})" for t, q in _OFFERS) + ") AS t(titulo, calidad)")
+def r5_quality(spark: SparkSession, d: str) -> DataFrame:
+    """Who made a part: factory brands first, then a known maker even where the title says original, then original, else other."""
+    t = F.col("titulo")
+    quality_ = F.when(t.rlike(r"(?i)\b(mopar|motorcraft)\b"), "fabrica").otherwise(F.coalesce(titles.canonical_brand(t, _MAKERS), F.when(t.rlike(r"(?i)\b(original|orig|oem)\b"), "Original"), F.when(t.isNotNull(), "Alternativo")))
+    return spark.createDataFrame([(x,) for x, _ in _OFFERS], "titulo string").select("titulo", quality_.alias("calidad"))
+
+
+#: Label, what a text must hold, what it must not.
+_FEATURES = [
+    ("airbag", r"airbag|bolsas? de aire", r"rodilla"), ("airbag_rodilla", r"rodilla", None), ("camara", r"camara", r"360|perimetral"), ("vision_360", r"360|perimetral|envolvente", None),
+    ("cuero", r"cuero", r"volante"), ("volante_cuero", r"volante.*cuero|leather steering", None), ("led", r"\bled\b", r"diurn|drl|dia"), ("llantas", r"llanta|rodado|alloy", r"auxilio"),
+]
+
+
+@BOOK.add(
+    "WITH t AS (SELECT DISTINCT item, lower(strip_accents(item)) AS t FROM equipamiento_items WHERE item IS NOT NULL) SELECT item, array_to_string(list_sort(list_filter(["
+    + ", ".join(f"CASE WHEN regexp_matches(t, '{must}')" + (f" AND NOT regexp_matches(t, '{veto}')" if veto else "") + f" THEN '{label}' END" for label, must, veto in _FEATURES)
+    + "], lambda x: x IS NOT NULL)), '|') AS rasgos, nullif(regexp_extract(t, '(\\d{1,2})\\s*(?:\"|pulg|plg)', 1), '') AS pulgadas FROM t".replace("\\\\", "\\")
+)
+def r6_features(spark: SparkSession, d: str) -> DataFrame:
+    """All features an equipment item names, each unless a word rules it out."""
+    folded = F.lower(X.strip_accents(F.col("item")))
+    items = table(spark, d, "equipamiento_items").where("item is not null").select("item").distinct().withColumn("t", folded)
+    labels = X.multilabel(F.col("t"), _FEATURES)
+    return items.select("item", F.array_join(labels, "|").alias("rasgos"), X.extract(F.col("t"), r'(\d{1,2})\s*(?:"|pulg|plg)').alias("pulgadas"))
+
+
 _ASKED = [("camioneta gasolera, 30 mil km al año, rio tordo",), ("Zeta o Paki? 40 palos, 4 años",), ("suv hibrida automatica con originales",), ("gasto 90 mil por mes",), (None,)]
 
 
