@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
+import codecs
 import csv
 import io
+import re
+import struct
 import zipfile
+import zlib
 from collections.abc import Iterator, Sequence
 from functools import reduce
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -79,36 +84,76 @@ def sniff_separator(spark: SparkSession, path: str, candidates: Sequence[str] =
     return max(candidates, key=lambda c: (line.count(c), -candidates.index(c)))
 
 
-def _unzip(columns: Sequence[str]):
+def _members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One row per CSV member of an archive: its compressed bytes as they stand, nothing unpacked yet."""
+    for batch in batches:
+        for path, content in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            with zipfile.ZipFile(io.BytesIO(content)) as z:
+                for info in sorted(z.infolist(), key=lambda m: m.filename):
+                    if not info.filename.lower().endswith(".csv"):
+                        continue
+                    # The local header's name and extra field may be as long as they like.
+                    at = info.header_offset + 30 + sum(struct.unpack("<HH", content[info.header_offset + 26 : info.header_offset + 30]))
+                    row = [[path], [info.filename], [info.compress_type], [content[at : at + info.compress_size]]]
+                    kinds = (pa.string(), pa.string(), pa.int32(), pa.binary())
+                    yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(row, kinds)], names=["archivo", "miembro", "method", "raw"])
+
+
+def _unpacked(method: int, raw: bytes, step: int = 1 << 20) -> Iterator[bytes]:
+    if method == zipfile.ZIP_STORED:
+        yield raw
+        return
+    if method != zipfile.ZIP_DEFLATED:
+        raise ValueError(f"compression method {method} of a ZIP member is not known")
+    inflate = zlib.decompressobj(-15)
+    for i in range(0, len(raw), step):
+        part = inflate.decompress(raw[i : i + step], step)
+        while part:
+            yield part
+            part = inflate.decompress(inflate.unconsumed_tail, step) if inflate.unconsumed_tail else b""
+    yield inflate.flush()
+
+
+def _lines(parts: Iterator[bytes]) -> Iterator[str]:
+    """Text lines of a stream of bytes; line ends are kept for the CSV reader."""
+    decoder = codecs.getincrementaldecoder("utf-8-sig")()
+    rest = ""
+    for part in parts:
+        rest += decoder.decode(part)
+        lines = re.split(r"(?<=\n)|(?<=\r)(?!\n)", rest)
+        # The last line may go on.
+        rest = lines.pop()
+        yield from lines
+    if rest:
+        yield rest
+
+
+def _rows_of(columns: Sequence[str]):
     def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            for path, content in zip(pdf["path"], pdf["content"]):
-                with zipfile.ZipFile(io.BytesIO(content)) as z:
-                    for member in sorted(z.namelist()):
-                        if not member.lower().endswith(".csv"):
-                            continue
-                        with z.open(member) as f:
-                            reader = csv.DictReader(io.TextIOWrapper(f, encoding="utf-8-sig", newline=""))
-                            block: list[list[str | None]] = []
-                            for record in reader:
-                                block.append([path, member, *[record.get(c) for c in columns]])
-                                if len(block) == 10_000:
-                                    yield pd.DataFrame(block, columns=["archivo", "miembro", *columns])
-                                    block = []
-                            if block:
-                                yield pd.DataFrame(block, columns=["archivo", "miembro", *columns])
+            for path, member, method, raw in zip(*(pdf[c] for c in ("archivo", "miembro", "method", "raw"))):
+                block: list[list[str | None]] = []
+                for record in csv.DictReader(_lines(_unpacked(int(method), raw))):
+                    block.append([path, member, *[record.get(c) for c in columns]])
+                    if len(block) == 10_000:
+                        yield pd.DataFrame(block, columns=["archivo", "miembro", *columns])
+                        block = []
+                if block:
+                    yield pd.DataFrame(block, columns=["archivo", "miembro", *columns])
 
     return rows
 
 
 def zip_of_csvs(spark: SparkSession, pattern: str, columns: Sequence[str]) -> DataFrame:
-    """The CSV members of ZIP files, one task per archive, as text columns plus archivo and miembro.
+    """The CSV members of ZIP files as text columns plus archivo and miembro, one task per member.
 
-    Only the listed columns are read; one that a member lacks is null there.
+    An archive is opened by one task, which sends its members on as they are compressed; each is unpacked and parsed as a stream. Only the
+    listed columns are read; one that a member lacks is null there.
     """
     schema = ", ".join(f"`{c}` string" for c in ["archivo", "miembro", *columns])
     files = spark.read.format("binaryFile").load(pattern).select("path", "content")
-    return files.mapInPandas(_unzip(list(columns)), schema)
+    members = files.mapInArrow(_members, "archivo string, miembro string, method int, raw binary").repartition("archivo", "miembro")
+    return members.mapInPandas(_rows_of(list(columns)), schema)
 
 
 def json_lines(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:

@@ -28,7 +28,12 @@ def test_zip_of_csvs(spark, tmp_path, rows):
         z.writestr("2024-01.csv", "a,b\n1,x\n2,y\n")
         z.writestr("2024-02.csv", "b,c\nz,9\n")
         z.writestr("leeme.txt", "no")
-    df = readers.zip_of_csvs(spark, str(tmp_path / "*.zip"), ["a", "b"])
+    with zipfile.ZipFile(tmp_path / "z.zip", "w", zipfile.ZIP_DEFLATED) as z:
+        z.writestr("grande.csv", "\ufeffa,b\r\n" + "".join(f'{i},"año, {i}\n otra"\r\n' for i in range(30_000)))
+        z.writestr("vacio.csv", "")
+    big = readers.zip_of_csvs(spark, str(tmp_path / "z.zip"), ["a", "b"])
+    assert big.count() == 30_000 and big.where("a = '12345'").first().b == "año, 12345\n otra"
+    df = readers.zip_of_csvs(spark, str(tmp_path / "y.zip"), ["a", "b"])
     assert rows(df.select("miembro", "a", "b")) == [("2024-01.csv", "1", "x"), ("2024-01.csv", "2", "y"), ("2024-02.csv", None, "z")]
 
 
