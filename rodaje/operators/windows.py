@@ -119,7 +119,7 @@ def exact_percentiles(df: DataFrame, keys: Sequence[str], value: str, probs: Map
     for name, r in ranks.items():
         low, high = (F.max(F.when(holds(at), F.col("_v"))) for at in (F.floor(r), F.ceil(r)))
         part = F.max(r - F.floor(r))
-        out.append(F.when(part == 0, low).otherwise(low + (high - low) * part).alias(name))
+        out.append(F.when(part == 0, low).otherwise(low * (1 - part) + high * part).alias(name))
     found = met.groupBy(*own).agg(F.max("_n").alias("n"), *out)
     return found.select(*[F.col(f"_{k}").alias(k) for k in keys], "n", *probs)
 
