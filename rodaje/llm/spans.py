@@ -93,43 +93,44 @@ def _last_equal(h: np.ndarray, start: np.ndarray, value: np.ndarray, w: int) ->
     return out
 
 
+def _chosen(texts: Iterator[tuple[int, str]], k: int, w: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """tag, pos, n, fp of the chosen grams of tagged texts, for about _STARTS characters at a time; a longer text goes on in the next lot."""
+    span = k + w - 1
+    tags: list[int] = []
+    offsets: list[int] = []
+    parts: list[str] = []
+    held = 0
+
+    def lot() -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        sizes = np.fromiter(map(len, parts), dtype=np.int64, count=len(parts))
+        ends = np.cumsum(sizes)
+        at, n, fp = _select(np.frombuffer("".join(parts).encode("utf-32-le"), dtype=np.uint32), ends, k, w)
+        of = np.searchsorted(ends, at, side="right")
+        pos = at - (ends - sizes)[of] + np.asarray(offsets, dtype=np.int64)[of]
+        found = np.asarray(tags, dtype=np.int64)[of], pos, n, fp.view(np.int64)
+        tags.clear(), offsets.clear(), parts.clear()
+        return found
+
+    for tag, text in texts:
+        for start in range(0, len(text) - span + 1, _STARTS):
+            part = text[start : start + _STARTS + span - 1]
+            tags.append(tag), offsets.append(start), parts.append(part)
+            held += len(part)
+            if held >= _STARTS:
+                yield lot()
+                held = 0
+    if parts:
+        yield lot()
+
+
 def _anchor_batches(k: int, w: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        span = k + w - 1
-        ids: list[int] = []
-        offsets: list[int] = []
-        pieces: list[str] = []
-        held = 0
-
-        def flush() -> Iterator[pa.RecordBatch]:
-            nonlocal held
-            if not pieces:
-                return
-            sizes = np.fromiter(map(len, pieces), dtype=np.int64, count=len(pieces))
-            ends = np.cumsum(sizes)
-            chars = np.frombuffer("".join(pieces).encode("utf-32-le"), dtype=np.uint32)
-            at, n, fp = _select(chars, ends, k, w)
-            piece = np.searchsorted(ends, at, side="right")
-            doc = np.asarray(ids, dtype=np.int64)[piece]
-            pos = at - (ends - sizes)[piece] + np.asarray(offsets, dtype=np.int64)[piece]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(doc), pa.array(pos.astype(np.int32)), pa.array(n.astype(np.int32)), pa.array(fp.view(np.int64))],
-                names=["doc", "pos", "n", "fp"],
-            )
-            ids.clear(), offsets.clear(), pieces.clear()
-            held = 0
-
-        for batch in batches:
-            for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                start = 0
-                while len(text) - start >= span:
-                    piece = text[start : start + _STARTS + span - 1]
-                    ids.append(doc), offsets.append(start), pieces.append(piece)
-                    held += len(piece)
-                    start += _STARTS
-                    if held >= _STARTS:
-                        yield from flush()
-        yield from flush()
+        rows = (row for b in batches for row in zip(b.column(0).to_pylist(), b.column(1).to_pylist()))
+        for doc, _, _, fp in _chosen(rows, k, w):
+            order = np.lexsort((fp, doc))
+            doc, fp = doc[order], fp[order]
+            new = np.concatenate([[True], (doc[1:] != doc[:-1]) | (fp[1:] != fp[:-1])])
+            yield pa.RecordBatch.from_arrays([pa.array(doc[new]), pa.array(fp[new])], names=["doc", "fp"])
 
     return run
 
@@ -141,12 +142,8 @@ def _long_enough(docs: DataFrame, id_col: str, text_col: str, span: int) -> Data
 
 
 def anchors(docs: DataFrame, id_col: str, text_col: str, span: int = 150, k: int = 80) -> DataFrame:
-    """doc, pos, n, fp: the chosen grams of each text of at least `span` characters.
-
-    fp is the least hash of the n windows of `span` characters that begin at pos; each window of a text is in one row.
-    Null, empty and shorter texts have none.
-    """
-    return _long_enough(docs, id_col, text_col, span).mapInArrow(_anchor_batches(k, span - k + 1), "doc long, pos int, n int, fp long")
+    """doc, fp: the hashes of the chosen grams of each text of at least `span` characters. Null, empty and shorter texts have none."""
+    return _long_enough(docs, id_col, text_col, span).mapInArrow(_anchor_batches(k, span - k + 1), "doc long, fp long")
 
 
 def copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", span: int = 150) -> DataFrame:
@@ -161,34 +158,45 @@ def copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", span
     return keys.join(groups, ["h1", "h2"]).select("doc", "rep", "n")
 
 
-def _cut_pieces(span: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """One row per piece of a text: its windows, led by the character before them (an empty one where the text begins)."""
+def _cut_pieces(span: int, k: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """One row per piece of a text whose hash is asked for: its windows, led by the character before them (an empty one where the text begins)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        out: dict[str, list] = {c: [] for c in ("doc", "pos", "fp", "many", "head", "text")}
+        kinds = {"doc": pa.int64(), "pos": pa.int32(), "fp": pa.int64(), "many": pa.bool_(), "head": pa.bool_(), "text": pa.string()}
+        out: dict[str, list] = {c: [] for c in kinds}
+        open_: dict[int, tuple] = {}  # texts in the lot
         held = 0
 
+        def rows() -> Iterator[tuple[int, str]]:
+            tag = 0
+            for b in batches:
+                for row in zip(*(b.column(c).to_pylist() for c in ("doc", "text", "many", "fps"))):
+                    open_[tag] = row
+                    yield tag, row[1]
+                    tag += 1
+
         def flush() -> pa.RecordBatch:
-            nonlocal held
-            batch = pa.RecordBatch.from_arrays(
-                [pa.array(v, t) for v, t in zip(out.values(), (pa.int64(), pa.int32(), pa.int64(), pa.bool_(), pa.bool_(), pa.string()))],
-                names=list(out),
-            )
+            batch = pa.RecordBatch.from_arrays([pa.array(v, kinds[c]) for c, v in out.items()], names=list(out))
             for v in out.values():
                 v.clear()
-            held = 0
             return batch
 
-        for batch in batches:
-            for doc, text, many, spots in zip(*(batch.column(c).to_pylist() for c in ("doc", "text", "many", "spots"))):
-                for s in spots:
-                    pos = s["pos"]
-                    piece = (text[pos - 1] if pos else "\x00") + text[pos : pos + s["n"] + span - 1]
-                    for c, v in zip(out, (doc, pos, s["fp"], many, pos == 0, piece)):
+        for tag, pos, n, fp in _chosen(rows(), k, span - k + 1):
+            edge = np.flatnonzero(np.concatenate([[True], tag[1:] != tag[:-1]]))
+            for a, b in zip(edge, [*edge[1:], len(tag)]):
+                doc, text, many, fps = open_[int(tag[a])]
+                for i in a + np.flatnonzero(np.isin(fp[a:b], fps)):
+                    at = int(pos[i])
+                    piece = (text[at - 1] if at else "\x00") + text[at : at + int(n[i]) + span - 1]
+                    for c, v in zip(out, (doc, at, int(fp[i]), many, at == 0, piece)):
                         out[c].append(v)
                     held += len(piece)
                     if held >= _STARTS:
                         yield flush()
+                        held = 0
+            last = int(tag[-1])
+            for t in [t for t in open_ if t < last]:
+                del open_[t]
         if held:
             yield flush()
 
@@ -203,14 +211,14 @@ def pieces(docs: DataFrame, id_col: str, text_col: str, span: int, k: int, same:
     """
     every = anchors(docs, id_col, text_col, span, k).where("fp is not null and doc is not null").repartition("fp")
     # Both uses read the same columns, so that the anchors are made and moved only once.
-    row = F.struct("doc", "pos", "n")
-    shared = every.groupBy("fp").agg(F.min(row).alias("_a"), F.max(row).alias("_b")).where("_a.doc < _b.doc").select("fp")
-    kept = every.join(shared, "fp").groupBy("doc").agg(F.collect_set(F.struct("pos", "n", "fp")).alias("spots"))
+    shared = every.groupBy("fp").agg(F.min("doc").alias("_a"), F.max("doc").alias("_b")).where("_a < _b").select("fp")
+    kept = every.join(shared, "fp").groupBy("doc").agg(F.collect_set("fp").alias("fps"))
     known = same.select("doc", "rep")
-    kept = kept.join(known, "doc", "left").where("rep is null or rep = doc").select("doc", "spots", F.col("rep").isNotNull().alias("many"))
+    kept = kept.join(known, "doc", "left").where("rep is null or rep = doc").select("doc", "fps", F.col("rep").isNotNull().alias("many"))
     texts = _long_enough(docs, id_col, text_col, span)
-    cut_up = kept.join(texts, "doc").select("doc", "text", "many", "spots").mapInArrow(
-        _cut_pieces(span), "doc long, pos int, fp long, many boolean, head boolean, text string"
+    # The grams of these texts are chosen once more, which costs less than moving the places of all.
+    cut_up = kept.join(texts, "doc").select("doc", "text", "many", "fps").mapInArrow(
+        _cut_pieces(span, k), "doc long, pos int, fp long, many boolean, head boolean, text string"
     )
     return cut_up.withColumns({"c1": F.xxhash64("fp", "head", "text"), "c2": F.xxhash64(F.lit(7), "text", "head")})
 
