@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
+import unicodedata
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-#: Accented letters and their bases (fixed values).
-ACCENTED = "áàâãäåéèêëíìîïóòôõöúùûüýñçÁÀÂÃÄÅÉÈÊËÍÌÎÏÓÒÔÕÖÚÙÛÜÝÑÇ"
-BASES = "aaaaaaeeeeiiiiooooouuuuyncAAAAAAEEEEIIIIOOOOOUUUUYNC"
+#: Latin letters with marks and their bases, by Unicode's decompositions; marks that stand alone have none and are dropped.
+_MARKED = {c: d[0] for c in map(chr, [*range(0xC0, 0x250), *range(0x1E00, 0x1F00)]) if len(d := unicodedata.normalize("NFD", c)) > 1 and d[0].isascii()}
+ACCENTED = "".join(_MARKED) + "".join(map(chr, range(0x300, 0x370)))
+BASES = "".join(_MARKED.values())
 
 #: Words of bodies and the like that some sources write and others do not (fixed values).
 NOISE = [

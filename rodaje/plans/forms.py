@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from rodaje.functions import dates, requests, titles
 from rodaje.functions import text as X
 from rodaje.functions.numeric import percent, safe_ratio, scaled_round
+from rodaje.functions.similarity import swap_distance, token_sort_ratio
 from rodaje.operators import geo, increments, quality, tables, units, windows
 from rodaje.plans.book import Book
 from rodaje.session import shared_folder
@@ -226,6 +227,24 @@ def r3_inches(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "equipamiento_items").where("item is not null").select("item", titles.inches(F.col("item")).alias("pulgadas")).distinct()
 
 
+_EDITS = [("cronos", "cronnos", 1), ("hilux", "hliux", 1), ("ca", "abc", 3), ("gol", "gol", 0), ("", "ab", 2), ("amarok", "amorak", 2), ("up", None, None)]
+
+
+@BOOK.add("SELECT * FROM (VALUES " + ", ".join(f"({_v(a)}, {_v(b)}, {'NULL' if n is None else n})" for a, b, n in _EDITS) + ") AS t(a, b, distancia)")
+def f22_swap_distance(spark: SparkSession, d: str) -> DataFrame:
+    """Edits with swaps of neighbours where no part is edited twice: 'ca' is three from 'abc'."""
+    return spark.createDataFrame([(a, b) for a, b, _ in _EDITS], "a string, b string").withColumn("distancia", swap_distance("a", "b"))
+
+
+_SORTED = [("ring small", "small ring", 100.0), ("gol trend", "trend gol msi", 81.818182), ("abc", "xyz", 0.0), ("", "", 100.0), (None, "a", None)]
+
+
+@BOOK.add("SELECT * FROM (VALUES " + ", ".join(f"({_v(a)}, {_v(b)}, {'NULL' if n is None else f'{n}e0'})" for a, b, n in _SORTED) + ") AS t(a, b, parecido)")
+def f23_sorted_words(spark: SparkSession, d: str) -> DataFrame:
+    """Similarity of texts whose words are sorted first."""
+    return spark.createDataFrame([(a, b) for a, b, _ in _SORTED], "a string, b string").withColumn("parecido", scaled_round(token_sort_ratio("a", "b"), 6))
+
+
 _PRICES = [("$ 1.234.567,89", 1e6), ("ARS 307.000,00", 3e5), ("$940.000.-", 9e5), ("desde 12500", 125000.0), ("$ 3.070.000", 3e5), ("consultar", 1e5), (None, 1e5)]
 
 
@@ -481,6 +500,18 @@ def g10_misfits_dropped_unless_all(spark: SparkSession, d: str) -> DataFrame:
     return kept.groupBy("p_brand", "p_type").agg(F.count(F.lit(1)).alias("ofertas"), F.min("p_retailprice").alias("desde"), F.count_if("sirve").alias("confirmadas"))
 
 
+@BOOK.add("""
+    WITH x AS (SELECT p_partkey, CASE WHEN p_size >= 5 THEN 30 BETWEEN p_size - 5 AND p_size + 5 END AS por_anio,
+               CASE WHEN p_type NOT IN ('PROMO', 'LARGE') THEN true WHEN p_name LIKE '%old%' THEN NULL ELSE p_name LIKE '%red%' END AS por_motor FROM part)
+    SELECT p_partkey, por_anio AND por_motor AS sirve FROM x""")
+def g19_fit_by_year_and_engine(spark: SparkSession, d: str) -> DataFrame:
+    """Three-valued fit: what a title does not say is unknown, and the engine counts for some kinds of parts only."""
+    part, size = table(spark, d, "part"), F.col("p_size")
+    by_year = tables.fits(F.lit(30), F.when(size >= 5, size - 5), F.when(size >= 5, size + 5))
+    by_engine = F.when(~F.col("p_type").isin("PROMO", "LARGE"), True).when(F.contains("p_name", F.lit("old")), None).otherwise(F.contains("p_name", F.lit("red")))
+    return part.select("p_partkey", (by_year & by_engine).alias("sirve"))
+
+
 @BOOK.add("""
     WITH m AS (SELECT p_brand, p_type, count(DISTINCT p_name) AS n FROM part GROUP BY 1, 2 HAVING count(DISTINCT p_name) >= 2), q AS (SELECT DISTINCT p_brand FROM m WHERE p_type = 'PROMO')
     SELECT m.* FROM m WHERE p_type = 'PROMO' UNION ALL SELECT m.* FROM m WHERE p_brand NOT IN (SELECT p_brand FROM q)""")

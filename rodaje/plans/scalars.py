@@ -16,11 +16,11 @@ BOOK = Book()
 
 
 @BOOK.add("""
-    SELECT doc_id, trim(regexp_replace(lower(strip_accents(left(source, 40) || ' ' || coalesce(marca, ''))), '[^a-z0-9]+', ' ', 'g'), ' ') AS clave,
+    SELECT doc_id, trim(regexp_replace(lower(strip_accents(text || ' ' || coalesce(marca, ''))), '[^a-z0-9]+', ' ', 'g'), ' ') AS clave,
            trim(regexp_replace(lower(strip_accents(coalesce(marca, '') || ' ' || coalesce(familia, ''))), '[^a-z0-9]+', '-', 'g'), '-') AS slug FROM documents""")
 def f1_text_keys(spark: SparkSession, d: str) -> DataFrame:
-    source = F.concat(F.left("source", F.lit(40)), F.lit(" "), F.coalesce("marca", F.lit("")))
-    return table(spark, d, "documents").select("doc_id", X.text_key(source).alias("clave"), X.slug(F.coalesce("marca", F.lit("")), F.coalesce("familia", F.lit(""))).alias("slug"))
+    whole = F.concat("text", F.lit(" "), F.coalesce("marca", F.lit("")))
+    return table(spark, d, "documents").select("doc_id", X.text_key(whole).alias("clave"), X.slug(F.coalesce("marca", F.lit("")), F.coalesce("familia", F.lit(""))).alias("slug"))
 
 
 _PROVINCES = [("01", "Puerto Hondo"), ("02", "Valle Pardo"), ("03", "Sierra Ñandú"), ("04", "Río Tordo"), ("05", "Costa Lenga"), ("06", "Estero Azul"), ("07", "Monte Quieto"), ("08", "Pampa Alta"), ("09", "Laguna Brava Norte"), ("10", "Médanos"), ("11", "Bahía Calma"), ("12", "Confín del Sur")]
