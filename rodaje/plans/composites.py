@@ -177,4 +177,27 @@ def s1_windowed_stream(spark: SparkSession, d: str) -> DataFrame:
     return closed.select(F.date_format("desde", "yyyy-MM-dd HH").alias("desde"), "event_type", "n", F.col("total").cast("double").alias("total"))
 
 
+def _event_stream(spark: SparkSession, d: str) -> DataFrame:
+    # A pattern, so that the source may be one file as well as a folder.
+    return spark.readStream.schema(table(spark, d, "events").schema).parquet(f"{d}/events.parque[t]")
+
+
+@BOOK.add("""
+    SELECT user_id, event_id, event_type FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY strftime(ts, '%Y-%m-%d %H:%M:%S.%f') || lpad(CAST(event_id AS VARCHAR), 12, '0') DESC) AS r FROM events) WHERE r = 1""")
+def s2_stream_upserts(spark: SparkSession, d: str) -> DataFrame:
+    """The newest event per user, kept up to date by the batches of a stream."""
+    order = F.concat(F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS"), F.lpad(F.col("event_id").cast("string"), 12, "0"))
+    rows = _event_stream(spark, d).select("user_id", "event_id", "event_type", order.alias("orden"))
+    return stream.run_upserts(rows, ["user_id"], "orden").select("user_id", "event_id", "event_type")
+
+
+@BOOK.add("""
+    WITH g AS (SELECT user_id, ts, lag(ts) OVER (PARTITION BY user_id ORDER BY ts) AS antes FROM events)
+    SELECT user_id, count(*) AS eventos, count(*) FILTER (WHERE antes IS NULL OR ts - antes > INTERVAL 6 HOUR) AS sesiones FROM g GROUP BY 1""")
+def s3_stateful_sessions(spark: SparkSession, d: str) -> DataFrame:
+    """Sessions per user by a state of its own that lives on between batches."""
+    totals = stream.sessions(_event_stream(spark, d), "user_id", "ts", 6 * 3600)
+    return stream.run_updates(totals, ["user_id"], "events").select("user_id", F.col("events").alias("eventos"), F.col("sessions").alias("sesiones"))
+
+
 QUERIES, ORACLES = BOOK.queries, BOOK.oracles

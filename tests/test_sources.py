@@ -96,3 +96,15 @@ def test_upsert_latest(spark, rows):
     old = spark.sql("select * from values ('a', 1, 10), ('b', 1, 20) as t(k, t, v)")
     new = spark.sql("select * from values ('a', 2, 11), ('c', 1, null) as t(k, t, v)")
     assert rows(stream.upsert_latest(new, old, ["k"], "t").select("k", "t", "v")) == [("a", 2, 11), ("b", 1, 20), ("c", 1, None)]
+
+
+def test_stream_state_and_upserts_over_several_batches(spark, tmp_path, rows):
+    data = [(1, "2026-01-01 00:00:00", "a"), (1, "2026-01-01 05:00:00", "b"), (2, "2026-01-01 00:00:00", "c"), (1, "2026-01-02 00:00:00", "d"), (2, "2026-01-01 01:00:00", "e"), (None, None, "f")]
+    df = spark.createDataFrame(data, "u long, t string, k string").select("u", F.to_timestamp("t").alias("ts"), "k")
+    for i, part in enumerate((df.where("k in ('a', 'c')"), df.where("k in ('b', 'e')"), df.where("k in ('d', 'f')"))):
+        part.coalesce(1).write.mode("append").parquet(str(tmp_path / f"in/{i}"))
+    source = spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).option("latestFirst", False).parquet(str(tmp_path / "in/*"))
+    totals = stream.run_updates(stream.sessions(source, "u", "ts", 6 * 3600), ["u"], "events")
+    assert rows(totals) == [(1, 3, 2), (2, 2, 1)]
+    newest = stream.run_upserts(source.where("u is not null"), ["u"], "ts")
+    assert rows(newest.select("u", "k")) == [(1, "d"), (2, "e")]
