@@ -19,7 +19,7 @@ NOISE = [
     "NUEVO", "NUEVA",
 ]
 
-#: How `norm` rewrites a text in capitals without accents, in this order; both engines read these patterns alike.
+#: How `norm` rewrites a text in capitals without accents, in this order (fixed values: names must come out as the sources' own normal form); both engines read these patterns alike.
 NORMAL_FORMS: list[tuple[str, str]] = [
     (r"\bPICK *-? *UP\b", " "), (r"\+", " PLUS "), (r" +- +", " "), (r"(\d)[.,](\d) *L\b", r"\1,\2"), (r"(\d)\.(\d)", r"\1,\2"),
     (r"([A-Z])-(\d)", r"\1\2"), (r"(\d)-([A-Z])", r"\1\2"), (r"\b([A-Z]{1,3}) (\d{1,3})([^0-9A-Z_,]|$)", r"\1\2\3"), (r"[^A-Z0-9, /]", " "),
