@@ -56,6 +56,22 @@ def violations(checks: Mapping[str, DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, [one(n, df) for n, df in checks.items()])
 
 
+def profile(df: DataFrame) -> DataFrame:
+    """columna, filas, nulos, distintos, menor, mayor, mas_largo: one row per column, from one pass; values are compared as their columns' types and shown as text.
+
+    Distinct values are counted exactly. An empty table has counts of 0 and no least value.
+    """
+    aggs = []
+    for i, c in enumerate(df.columns):
+        col = F.col(f"`{c}`")
+        text = lambda x: x.cast("string")
+        aggs.append(F.struct(
+            F.lit(c).alias("columna"), F.count(F.lit(1)).alias("filas"), F.count_if(col.isNull()).alias("nulos"), F.count_distinct(col).alias("distintos"),
+            text(F.min(col)).alias("menor"), text(F.max(col)).alias("mayor"), F.max(F.length(text(col))).cast("long").alias("mas_largo"),
+        ).alias(f"c{i}"))
+    return df.agg(F.array(*aggs).alias("a")).select(F.inline("a"))
+
+
 def graded(checks: Sequence[tuple[str, DataFrame]]) -> DataFrame:
     """prueba, valor, estado: each check is a row of v, error and warn; estado is 'error', 'aviso' or 'bien'. A check without a value is an error."""
     state = F.when(F.coalesce(F.col("error"), F.lit(True)), "error").when(F.coalesce(F.col("warn"), F.lit(True)), "aviso").otherwise("bien")

@@ -37,9 +37,10 @@ def c1_grouped_basic(spark: SparkSession, d: str) -> DataFrame:
            median(o_totalprice) FILTER (WHERE o_orderstatus = 'F') AS mediana_f, max(o_totalprice) FILTER (WHERE o_orderstatus = 'P') AS tope_p FROM orders GROUP BY 1""")
 def c2_filtered_aggs(spark: SparkSession, d: str) -> DataFrame:
     of = lambda s: F.when(F.col("o_orderstatus") == s, F.col("o_totalprice"))
-    return table(spark, d, "orders").groupBy("o_orderpriority").agg(
-        F.count(of("F")).alias("cerrados"), F.count(of("O")).alias("abiertos"), F.median(of("F")).alias("mediana_f"), F.max(of("P")).alias("tope_p")
-    )
+    orders = table(spark, d, "orders")
+    closed = windows.exact_percentiles(orders.where("o_orderstatus = 'F'"), ["o_orderpriority"], "o_totalprice", {"mediana_f": 0.5}).drop("n")
+    counts = orders.groupBy("o_orderpriority").agg(F.count(of("F")).alias("cerrados"), F.count(of("O")).alias("abiertos"), F.max(of("P")).alias("tope_p"))
+    return counts.join(closed, "o_orderpriority", "left")
 
 
 @BOOK.add("""

@@ -46,8 +46,8 @@ def g3_scaffold_with_fallback(spark: SparkSession, d: str) -> DataFrame:
     part = table(spark, d, "part")
     steps = F.array(*[F.struct(F.lit(t).alias("p_type"), F.lit(e).alias("cada"), F.lit(u).alias("unidades")) for t, e, u in (("PROMO", 10.0, 1), ("SMALL", 20.0, 4), ("LARGE", 40.0, 2))])
     b = part.groupBy("p_brand").agg(F.count(F.lit(1)).alias("n")).where("n > 60").select("p_brand", F.explode(steps).alias("i")).select("p_brand", "i.*")
-    m = part.where("p_size < 12").groupBy("p_brand", "p_type").agg(F.median("p_retailprice").alias("med"))
-    g = part.groupBy("p_type").agg(F.median("p_retailprice").alias("general"))
+    m = windows.exact_percentiles(part.where("p_size < 12"), ["p_brand", "p_type"], "p_retailprice", {"med": 0.5}).drop("n")
+    g = windows.exact_percentiles(part, ["p_type"], "p_retailprice", {"general": 0.5}).drop("n")
     filled = b.join(m, ["p_brand", "p_type"], "left").join(g, "p_type")
     spend = F.coalesce("med", "general") * F.col("unidades") / F.col("cada")
     return filled.groupBy("p_brand").agg(scaled_round(F.sum(spend), 4).alias("gasto"), F.count("med").alias("propios"))
@@ -63,7 +63,7 @@ def g4_cascade_estimate(spark: SparkSession, d: str) -> DataFrame:
     """An estimate from the closest group that has one, with the level it came from."""
     part = table(spark, d, "part")
     known, asked = part.where("p_partkey % 2 = 0"), part.where("p_partkey % 2 = 1")
-    level = lambda keys, name, df: df.groupBy(*keys).agg(F.median("p_retailprice").alias(name), F.count(F.lit(1)).alias("n"))
+    level = lambda keys, name, df: windows.exact_percentiles(df, keys, "p_retailprice", {name: 0.5})
     a = level(["p_brand", "p_type", "p_size"], "a", known).drop("n")
     b = level(["p_brand", "p_type"], "b", known.where("p_size > 25")).drop("n")
     c = level(["p_size"], "c", known).where("n >= 5").drop("n")
@@ -177,6 +177,15 @@ def s1_windowed_stream(spark: SparkSession, d: str) -> DataFrame:
     return closed.select(F.date_format("desde", "yyyy-MM-dd HH").alias("desde"), "event_type", "n", F.col("total").cast("double").alias("total"))
 
 
+@BOOK.add(" UNION ALL ".join(
+    f"SELECT '{c}' AS columna, count(*) AS filas, count(*) FILTER (WHERE {c} IS NULL) AS nulos, count(DISTINCT {c}) AS distintos, CAST(min({c}) AS VARCHAR) AS menor, CAST(max({c}) AS VARCHAR) AS mayor, CAST(max(length(CAST({c} AS VARCHAR))) AS BIGINT) AS mas_largo FROM valuacion_fotos"
+    for c in ("vigencia", "origen", "mtm", "fab", "marca", "anio", "valor_fiscal")
+))
+def h8_column_profile(spark: SparkSession, d: str) -> DataFrame:
+    """Rows, nulls, distinct values, extremes and lengths of every column."""
+    return quality.profile(table(spark, d, "valuacion_fotos").select("vigencia", "origen", "mtm", "fab", "marca", "anio", "valor_fiscal"))
+
+
 def _event_stream(spark: SparkSession, d: str) -> DataFrame:
     # A pattern, so that the source may be one file as well as a folder.
     return spark.readStream.schema(table(spark, d, "events").schema).parquet(f"{d}/events.parque[t]")

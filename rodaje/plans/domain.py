@@ -123,9 +123,8 @@ def m6_value_by_age(spark: SparkSession, d: str) -> DataFrame:
     age = F.when(F.col("anio") == 0, 0).otherwise(F.year("vigencia") - F.col("anio")).cast("long")
     e = all_.where((F.col("vigencia") == newest) & (F.col("valor_fiscal") > 0)).groupBy("marca", F.upper(F.trim("mtm")).alias("clave"), age.alias("edad")).agg(F.max("valor_fiscal").alias("v"))
     younger = e.select("marca", "clave", (F.col("edad") + 1).alias("edad"), F.col("v").alias("v0"))
-    j = e.join(younger, ["marca", "clave", "edad"]).where("edad between 1 and 14").groupBy("marca", "edad").agg(
-        F.median(F.col("v").cast("double") / F.col("v0")).alias("salto"), F.count(F.lit(1)).alias("n")
-    )
+    ratios = e.join(younger, ["marca", "clave", "edad"]).where("edad between 1 and 14").select("marca", "edad", (F.col("v").cast("double") / F.col("v0")).alias("razon"))
+    j = windows.exact_percentiles(ratios, ["marca", "edad"], "razon", {"salto": 0.5})
     out = windows.chained_index(j, ["marca"], "edad", "salto", "n")
     return out.select("marca", "edad", scaled_round(F.col("indice"), 3).alias("indice"), "completo", "respaldo")
 

@@ -103,8 +103,8 @@ def b2_left_sentinel(spark: SparkSession, d: str) -> DataFrame:
     SELECT coalesce(s.nacion, c.nacion) AS nacion, tramo, med_prov * factor AS med_prov, med_cli * factor AS med_cli
     FROM s FULL JOIN c ON s.nacion = c.nacion CROSS JOIN tramos""")
 def b3_full_outer_scaffold(spark: SparkSession, d: str) -> DataFrame:
-    s = table(spark, d, "supplier").where("s_acctbal > 7000").groupBy(F.col("s_nationkey").alias("nacion")).agg(F.median("s_acctbal").alias("mp"))
-    c = table(spark, d, "customer").where("c_nationkey % 3 <> 0").groupBy(F.col("c_nationkey").alias("nacion")).agg(F.median("c_acctbal").alias("mc"))
+    s = windows.exact_percentiles(table(spark, d, "supplier").where("s_acctbal > 7000").withColumn("nacion", F.col("s_nationkey")), ["nacion"], "s_acctbal", {"mp": 0.5}).drop("n")
+    c = windows.exact_percentiles(table(spark, d, "customer").where("c_nationkey % 3 <> 0").withColumn("nacion", F.col("c_nationkey")), ["nacion"], "c_acctbal", {"mc": 0.5}).drop("n")
     # The scaffold is two constant rows, unrolled in place.
     steps = F.array(*[F.struct(F.lit(n).alias("tramo"), F.lit(f).alias("factor")) for n, f in (("corto", 1.0), ("largo", 2.0))])
     return s.join(c, "nacion", "full").withColumn("t", F.explode(steps)).select(

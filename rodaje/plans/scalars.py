@@ -144,8 +144,8 @@ def f11_piecewise_curve(spark: SparkSession, d: str) -> DataFrame:
     FROM part JOIN (SELECT p_brand, p_type, median(p_retailprice) AS m, count(*) AS n FROM part GROUP BY 1, 2) USING (p_brand, p_type) CROSS JOIN (SELECT median(p_retailprice) AS g FROM part)""")
 def f12_fallback_chain(spark: SparkSession, d: str) -> DataFrame:
     part = table(spark, d, "part")
-    by = part.groupBy("p_brand", "p_type").agg(F.median("p_retailprice").alias("m"), F.count(F.lit(1)).alias("n"))
-    general = part.select(F.median("p_retailprice")).scalar()
+    by = windows.exact_percentiles(part, ["p_brand", "p_type"], "p_retailprice", {"m": 0.5})
+    general = windows.exact_percentiles(part.withColumn("k", F.lit(1)), ["k"], "p_retailprice", {"m": 0.5}).select("m").scalar()
     value, source = windows.fallback([
         ("propio", F.when(F.col("p_size") > 40, F.col("p_retailprice"))), ("marca", F.when(F.col("n") >= 12, F.col("m"))), ("general", general)
     ])
